@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orelode.llm import mixing, names, packing, survivors, terms, tokens
+from orelode.llm import mixing, names, packing, sites, survivors, terms, tokens, toxicity
 from orelode.plans.runtime import cut, table
 
 
@@ -45,6 +45,17 @@ def p4_merged(spark: SparkSession, d: str) -> DataFrame:
     return survivors.merged(table(spark, d, "facility"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return sites.site_pairs(table(spark, d, "facility"), table(spark, d, "country_ref"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every id that shares its site, with the least id of the site and the number of ids."""
+    g = cut(sites.site_groups(table(spark, d, "facility"), table(spark, d, "country_ref")))
+    head = g.groupBy("site").agg(F.min("facility_id").alias("site_id"), F.count("*").alias("n_ids"))
+    return g.join(head, "site").select("facility_id", "site_id", "n_ids")
+
+
 def _counted(spark: SparkSession, d: str) -> DataFrame:
     return cut(tokens.with_counts(table(spark, d, "documents"), ["doc_id", "source"]))
 
@@ -70,5 +81,23 @@ def p9_shares_once(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(_counted(spark, d), table(spark, d, "mix_target"), total=0, redistribute=True)[1]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_unmatched, p4_found, p4_merged, p8_containers, p8_fill, p9_mix, p9_shares, p9_shares_once)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_label"), ["doc_id"], spans=False)
+    return scored.where("toxic").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's score and how many offending spans it has."""
+    scored = toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_label"), ["doc_id", "source"])
+    return scored.select("doc_id", "source", F.round("score", 4).alias("score"), "toxic", F.size("spans").alias("n_spans"), "spans")
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: documents, toxic ones and their share."""
+    scored = toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "doc_label"), ["source"], spans=False)
+    label = mixing.source_label(F.col("source"))
+    return scored.groupBy(label.alias("source")).agg(F.count("*").alias("documents"), F.count_if("toxic").alias("toxic"), F.round(F.avg(F.col("toxic").cast("int")), 6).alias("rate"), F.round(F.avg("score"), 6).alias("mean_score"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_unmatched, p4_found, p4_merged, p5_found, p5_groups, p8_containers, p8_fill, p9_mix, p9_shares, p9_shares_once, p10_found, p10_scores, p10_rates)}
 ORACLES: dict[str, str] = {}
