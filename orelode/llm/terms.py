@@ -169,6 +169,8 @@ def map_values(values: DataFrame, terms: DataFrame, shard_rows: int = 20_000) ->
             rows.append((field, raw, *(got or (None, None, None))))
         return pd.DataFrame(rows, columns=["field_name", "raw", "distance", "term_id", "canonical"]).astype({"distance": "Int64", "term_id": "Int64"})
 
+    # one task a slot: a number given by hand keeps small inputs from being coalesced into one task
+    left, right = (x.repartition(slots, "slot", "shard") for x in (left, right))
     hits = left.groupBy("slot", "shard").cogroup(right.groupBy("slot", "shard")).applyInPandas(search, "field_name string, raw string, distance int, term_id long, canonical string")
     best = hits.groupBy("field_name", "raw").agg(F.min(F.struct(F.col("distance").isNull().alias("none"), "distance", "term_id", "canonical")).alias("b"))
     return best.select("field_name", "raw", F.coalesce("b.canonical", F.lit(UNMATCHED)).alias("canonical"), F.col("b.distance").alias("distance"))
