@@ -100,4 +100,12 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p3_unmatched, p4_found, p4_merged, p5_found, p5_groups, p8_containers, p8_fill, p9_mix, p9_shares, p9_shares_once, p10_found, p10_scores, p10_rates)}
-ORACLES: dict[str, str] = {}
+
+USABLE = "list_filter(list_distinct(list_transform({0}, lambda x: lower(trim(regexp_replace({1}, '\\s+', ' ', 'g'))))), lambda x: x IS NOT NULL AND x NOT IN (" + ", ".join(f"'{p}'" for p in survivors.PLACEHOLDERS) + "))"
+_FIELDS = " UNION ALL ".join(f"SELECT facility_id, rec_id, verification, '{f}' AS field_name, len({USABLE.format(f, 'x' if part is None else 'x.' + part)}) AS n FROM facility" for f, part in survivors.ITEM.items())
+ORACLES: dict[str, str] = {
+    # the orders agree, so the most trusted row is also the latest and the fullest
+    "p4_found": f"""WITH u AS ({_FIELDS}), g AS (SELECT facility_id FROM facility WHERE facility_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+ SELECT facility_id, field_name, arg_max(rec_id, (CASE verification.status {" ".join(f"WHEN '{t}' THEN {len(survivors.TRUST) - i}" for i, t in enumerate(survivors.TRUST))} ELSE 0 END, coalesce(verification.confidence, -1), n, -rec_id)) AS rec_id
+ FROM u JOIN g USING (facility_id) WHERE n > 0 GROUP BY 1, 2""",
+}
