@@ -11,7 +11,7 @@ Work is split into blocks by a hash of the document, each at most about ``block_
 neither a hot source nor one long class gathers in a task; each block leaves at most one partly
 filled container a class.
 
-Defined results: documents without tokens (null and empty texts) are not placed; a document longer
+Defined results: documents without tokens (null and empty texts) or without an id are not placed; a document longer
 than the capacity is cut into full pieces and a rest, which is packed like any other; all others
 stay whole.  Repeated rows are items of their own.  Kinds without a positive capacity are left out.
 """
@@ -64,7 +64,7 @@ def pack(docs: DataFrame, doc_id: str, tokens: str, kinds: DataFrame, block_rows
     """``container_kind``, ``container_id``, ``doc_id``, ``start_token`` and ``n_tokens`` of every
     placed document or piece, for every kind of ``kinds`` (container_kind, capacity_tokens)."""
     specs = kinds.where("capacity_tokens > 0").select("container_kind", F.col("capacity_tokens").cast("int").alias("capacity"))
-    items = docs.where(F.col(tokens) > 0).select(F.col(doc_id).alias("doc_id"), F.col(tokens).cast("int").alias("size"))
+    items = docs.where((F.col(tokens) > 0) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(tokens).cast("int").alias("size"))
     blocks = max(1, -(-items.count() // block_rows))
     items = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.lit(blocks)))
     pairs = items.join(bounded(specs, 1000), F.lit(True))  # every document goes to every kind

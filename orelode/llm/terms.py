@@ -94,6 +94,7 @@ class BKTree:
 
     def __init__(self, items: list[tuple[str, int, str]]) -> None:
         self.exact = {t: (i, c) for t, i, c in items}
+        self.longest = max((len(t) for t, _, _ in items), default=0)
         self.root: list | None = None
         for item in items:
             if self.root is None:
@@ -122,6 +123,8 @@ class BKTree:
         if text in self.exact:
             return (0, *self.exact[text])
         most = most_edits(len(text) + 1)
+        if len(text) > self.longest + most:
+            return None  # no entry can be near
         ok = [(d, i, c) for d, i, c, t in self.within(text, most) if d <= most_edits(max(len(t), len(text))) and (d < 2 or len(text) > 6 or t[0] == text[0])]
         return min(ok) if ok and len(text) > 2 else None
 

@@ -55,7 +55,7 @@ _MASK: dict[str, int] = {}
 for _i, _words in enumerate(CLASSES):
     for _w in _words:
         _MASK[ascii_fold(_w)] = _MASK.get(ascii_fold(_w), 0) | 1 << _i
-_STRONG = sorted({ascii_fold(w) for w in (*INSULT, *PROFANE, *SEXUAL) if len(w) >= 4})
+_STRONG = list(dict.fromkeys(ascii_fold(w) for w in (*INSULT, *PROFANE, *SEXUAL) if len(w) >= 4))
 _BY_FIRST: dict[str, list[str]] = {}
 for _w in _STRONG:
     _BY_FIRST.setdefault(_w[0], []).append(_w)
