@@ -78,7 +78,7 @@ def audit_topk_per_issue(spark, d):
 @query("""SELECT country_iso3, count(*) AS records, count(DISTINCT facility_id) AS facilities, count(*) FILTER (WHERE coalesce(location.lat <> 0 AND location.lon <> 0, false)) AS with_point,
  count(*) FILTER (WHERE len(commodities) > 0) AS with_commodities FROM facility GROUP BY country_iso3""")
 def stats_by_country(spark, d):
-    point = F.coalesce((quality.LAT != 0) & (quality.LON != 0), F.lit(False))
+    point = F.coalesce((quality.lat() != 0) & (quality.lon() != 0), F.lit(False))
     return _facility(spark, d).groupBy("country_iso3").agg(F.count("*").alias("records"), F.countDistinct("facility_id").alias("facilities"), F.count_if(point).alias("with_point"), F.count_if(F.size("commodities") > 0).alias("with_commodities"))
 
 
@@ -183,7 +183,7 @@ def geohash7(spark, d):
  FROM facility f JOIN place q ON f.country_iso3 = q.country_iso3 WHERE abs(f.location.lat) <= 90 AND abs(f.location.lon) <= 180 AND NOT (f.location.lat = 0 AND f.location.lon = 0))
  SELECT rec_id, arg_min(place_id, (round(km, 4), place_id)) AS place_id, round(min(km), 3) AS km FROM p GROUP BY rec_id""")
 def nearest_place(spark, d):
-    f = _facility(spark, d).where(spatial.usable(quality.LAT, quality.LON)).select("rec_id", "country_iso3", quality.LAT.alias("lat"), quality.LON.alias("lon"))
+    f = _facility(spark, d).where(spatial.usable(quality.lat(), quality.lon())).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
     p = table(spark, d, "place").select("place_id", "country_iso3", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
     rows = f.join(bounded(p, 100_000), "country_iso3").withColumn("km", spatial.haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
     return rows.groupBy("rec_id").agg(F.min_by("place_id", F.struct(F.round("km", 4), F.col("place_id"))).alias("place_id"), F.round(F.min("km"), 3).alias("km"))
@@ -193,8 +193,8 @@ def nearest_place(spark, d):
  x AS (SELECT *, asin(sin(p) * cos(d) + cos(p) * sin(d) * cos(t)) AS q FROM r)
  SELECT rec_id, round(degrees(q), 5) AS lat, round(degrees(radians(lon) + atan2(sin(t) * sin(d) * cos(p), cos(d) - sin(p) * sin(q))), 5) AS lon FROM x""")
 def bearing_destination(spark, d):
-    rows = _facility(spark, d).where((F.abs(quality.LAT) <= 85) & (F.abs(quality.LON) <= 180))
-    return rows.select("rec_id", text.destination(quality.LAT, quality.LON, F.lit(50.0), F.lit(45.0)).alias("to")).select("rec_id", F.round("to.lat", 5).alias("lat"), F.round("to.lon", 5).alias("lon"))
+    rows = _facility(spark, d).where((F.abs(quality.lat()) <= 85) & (F.abs(quality.lon()) <= 180))
+    return rows.select("rec_id", text.destination(quality.lat(), quality.lon(), F.lit(50.0), F.lit(45.0)).alias("to")).select("rec_id", F.round("to.lat", 5).alias("lat"), F.round("to.lon", 5).alias("lon"))
 
 
 @query("""WITH r AS (SELECT relationship_id, company_name || ' (' || CAST(round(percentage) AS INTEGER) || '%), Rest ' || (100 - CAST(round(percentage) AS INTEGER)) || '%' AS t FROM facility_company_relationships WHERE company_name IS NOT NULL AND percentage IS NOT NULL),
@@ -332,7 +332,7 @@ def import_check_duplicate(spark, d):
  c AS (SELECT rec_id, CASE WHEN a IS NULL OR o IS NULL THEN 'missing_coordinates' WHEN abs(a) > 90 OR abs(o) > 180 THEN 'invalid_range' WHEN NOT ins AND swp THEN 'latlon_swap' WHEN NOT ins THEN 'out_of_bounds' WHEN a = floor(a) AND o = floor(o) THEN 'suspicious_precision' END AS issue FROM f)
  SELECT rec_id, issue FROM c WHERE issue IS NOT NULL""")
 def bbox_validation(spark, d):
-    return _facility(spark, d).select("rec_id", quality.bbox_check(quality.LAT, quality.LON, F.col("country_iso3")).alias("issue")).where("issue is not null")
+    return _facility(spark, d).select("rec_id", quality.bbox_check(quality.lat(), quality.lon(), F.col("country_iso3")).alias("issue")).where("issue is not null")
 
 
 ISSUES = f"""WITH f AS (SELECT rec_id, facility_id, country_iso3, location.lat AS a, location.lon AS o, NOT {_box(fixed.FIX_BOUNDS, 'location.lat', 'location.lon')} AS outside, {_box(fixed.FIX_BOUNDS, 'location.lon', 'location.lat')} AS swp FROM facility),
@@ -344,7 +344,7 @@ ISSUES = f"""WITH f AS (SELECT rec_id, facility_id, country_iso3, location.lat A
 
 @query(ISSUES + "SELECT rec_id, issue FROM i")
 def coord_issues(spark, d):
-    found = quality.coordinate_issues(F.col("facility_id"), F.col("country_iso3"), quality.LAT, quality.LON)
+    found = quality.coordinate_issues(F.col("facility_id"), F.col("country_iso3"), quality.lat(), quality.lon())
     return _facility(spark, d).select("rec_id", F.explode(found).alias("i")).select("rec_id", "i.issue")
 
 
@@ -357,7 +357,7 @@ def coord_fix_apply(spark, d):
 @query(f"""SELECT verdict, count(*) AS records FROM (SELECT CASE WHEN a IS NULL OR o IS NULL THEN 'missing' WHEN round(a, 7) = {fixed.SENTINEL[0]} AND round(o, 7) = {fixed.SENTINEL[1]} THEN 'sentinel' WHEN abs(a) > 90 OR abs(o) > 180 THEN 'invalid' WHEN NOT ins THEN 'out_of_bbox' ELSE 'accept' END AS verdict
  FROM (SELECT location.lat AS a, location.lon AS o, coalesce({_box(fixed.BBOX, 'location.lat', 'location.lon')}, true) AS ins FROM facility)) GROUP BY 1""")
 def geocode_write_gates(spark, d):
-    return _facility(spark, d).groupBy(quality.write_gate(quality.LAT, quality.LON, F.col("country_iso3")).alias("verdict")).agg(F.count("*").alias("records"))
+    return _facility(spark, d).groupBy(quality.write_gate(quality.lat(), quality.lon(), F.col("country_iso3")).alias("verdict")).agg(F.count("*").alias("records"))
 
 
 @query("SELECT f.rec_id, c.iso3, c.country_name FROM facility f LEFT JOIN country_ref c ON f.country_iso3 = c.iso3")

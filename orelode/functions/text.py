@@ -6,7 +6,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from orelode.functions import fixed
 
@@ -159,19 +159,19 @@ def evidence_hash(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; the order of the arguments matters."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_ascii(a: pd.Series) -> pd.Series:
     """Decomposed and without what is not ASCII; null stays null."""
     return a.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Indel similarity of the sorted words of two texts."""
 

@@ -7,11 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orelode.functions import fixed
 from orelode.functions.text import asset_types, confidence_label
 
-TEXTS = F.array().cast("array<string>")
 
 
 def _list(c: Column) -> Column:
-    return F.filter(F.coalesce(c, TEXTS), lambda x: x.isNotNull())
+    return F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: x.isNotNull())
 
 
 def _joined(c: Column, sep: str = ",") -> Column:

@@ -7,7 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orelode.functions import fixed
 from orelode.functions.text import lookup
 
-LAT, LON = F.col("location.lat"), F.col("location.lon")
+
+
+def lat() -> Column:
+    return F.col("location.lat")
+
+
+def lon() -> Column:
+    return F.col("location.lon")
+
 
 
 def _empty(c: str) -> Column:
@@ -18,7 +26,7 @@ def audit_issues() -> Column:
     """array<string> of the issues of a facility record; zero coordinates count as missing."""
     name = F.coalesce("name", F.lit(""))
     low = F.lower(F.trim(name))
-    no_point = F.coalesce((LAT == 0) | (LON == 0), F.lit(True)) | LAT.isNull() | LON.isNull()
+    no_point = F.coalesce((lat() == 0) | (lon() == 0), F.lit(True)) | lat().isNull() | lon().isNull()
     checks = {
         "numeric_name": F.trim(name).rlike(r"^\d+$"),
         "generic_name": low.rlike("|".join(fixed.GENERIC_NAMES)),
@@ -90,9 +98,9 @@ def coordinate_issues(facility_id: Column, country: Column, lat: Column, lon: Co
 
 def fixed_coordinates(facility: DataFrame) -> DataFrame:
     """``rec_id``, ``lat``, ``lon`` after the first fixable issue; records to delete are left out."""
-    found = F.filter(coordinate_issues(F.col("facility_id"), F.col("country_iso3"), LAT, LON), lambda x: x["fixable"])
+    found = F.filter(coordinate_issues(F.col("facility_id"), F.col("country_iso3"), lat(), lon()), lambda x: x["fixable"])
     first = F.when(F.size(found) > 0, F.element_at(found, 1))
-    rows = facility.select("rec_id", LAT.alias("lat"), LON.alias("lon"), first.alias("fix"))
+    rows = facility.select("rec_id", lat().alias("lat"), lon().alias("lon"), first.alias("fix"))
     return rows.where("fix.issue is null or fix.issue <> 'duplicate_to_delete'").select("rec_id", F.coalesce("fix.lat", "lat").alias("lat"), F.coalesce("fix.lon", "lon").alias("lon"), F.col("fix.issue").alias("fixed_by"))
 
 

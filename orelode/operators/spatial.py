@@ -7,7 +7,7 @@ Arrow batches keeps the active boxes; hits are verified by great-circle distance
 casting.  Strips with more points than ``per_task`` are split by a salt of the point's id and
 their boxes copied to each part, so a hot latitude never ends in one task.
 
-Defined results: points with a null, out of range or (0, 0) position give no row, nor do boxes
+Defined results: points with a null id or a null, out of range or (0, 0) position give no row, nor do boxes
 whose position is null or text cannot be read; repeated points are matched each; the pair of
 equal distance and radius counts as near; a point on a polygon's edge may fall on either side.
 Empty inputs give an empty result.  Boxes over the antimeridian are cut in two, boxes reaching a
@@ -74,7 +74,8 @@ def inside(lon: np.ndarray, lat: np.ndarray, shape: list[np.ndarray]) -> np.ndar
 def circles(df: DataFrame, id_: str, lat: str, lon: str, km: float, label: str | None = None) -> DataFrame:
     """Boxes that hold all points within ``km`` of each row's position."""
     deg = math.degrees(km / EARTH_KM)
-    base = df.where(usable(F.col(lat), F.col(lon)) | ((F.col(lat) == 0) & (F.col(lon) == 0))).select(
+    held = usable(F.col(lat), F.col(lon)) | ((F.col(lat) == 0) & (F.col(lon) == 0))
+    base = df.where(held & F.col(id_).isNotNull()).select(
         F.col(id_).cast("bigint").alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"), (F.col(label) if label else F.lit(None)).cast("string").alias("label")
     )
     polar = F.abs(F.col("lat")) + deg >= 89.9
@@ -103,7 +104,7 @@ def regions(df: DataFrame, id_: str, wkt: str, label: str | None = None) -> Data
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("id", pa.int64()), ("label", pa.string()), ("shape", pa.string()), *((k, pa.float64()) for k in ("lo", "hi", "lat_lo", "lat_hi"))]))
 
     base = df.select(F.col(id_).cast("bigint").alias("id"), F.col(wkt).alias("shape"), (F.col(label) if label else F.lit(None)).cast("string").alias("label"))
-    boxes = base.where(F.col("shape").isNotNull()).mapInArrow(envelopes, kind[7:-1].replace(":", " "))
+    boxes = base.where(F.col("shape").isNotNull() & F.col("id").isNotNull()).mapInArrow(envelopes, kind[7:-1].replace(":", " "))
     return boxes.withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
 
 
@@ -173,7 +174,7 @@ def match_boxes(points: DataFrame, id_: str, lat: str, lon: str, boxes: DataFram
     ``id_`` must be integral and unique among the points.
     """
     strip = lambda c: F.floor((c + 90) / STRIP_DEG).cast("int")
-    pts = points.where(usable(F.col(lat), F.col(lon))).select(F.col(id_).cast("bigint").alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
+    pts = points.where(usable(F.col(lat), F.col(lon)) & F.col(id_).isNotNull()).select(F.col(id_).cast("bigint").alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
     pts = pts.withColumn("strip", strip(F.col("lat")))
     # at most 180 / STRIP_DEG + 1 rows, whatever the input
     hot = pts.groupBy("strip").agg(F.ceil(F.count("*") / per_task).cast("int").alias("parts"))
