@@ -397,3 +397,31 @@ def mentions_by_country(spark, d):
 def table_header_hits(spark, d):
     hits = sum((F.col("header").isNotNull() & F.coalesce(F.lower("header").contains(w), F.lit(False))).cast("int") for w in fixed.TABLE_WORDS)
     return table(spark, d, "documents").select(F.col("source").alias("header")).distinct().select("header", hits.alias("hits"))
+
+
+@query("SELECT facility_id, s.type AS type, s.id AS id, count(*) AS n_seen FROM (SELECT facility_id, unnest(sources) AS s FROM facility WHERE facility_id IS NOT NULL) GROUP BY 1, 2, 3")
+def dedupe_merge_sources(spark, d):
+    return dedupe.merged_sources(_facility(spark, d), "facility_id").select("facility_id", "type", "id", "n_seen")
+
+
+@query("""SELECT facility_id, lower(trim(c.metal)) AS metal, arg_max(c.chemical_formula, (rec_id, pos)) FILTER (WHERE c.chemical_formula IS NOT NULL) AS chemical_formula, bool_or(coalesce(c.is_primary, false)) AS is_primary
+ FROM (SELECT facility_id, rec_id, generate_subscripts(commodities, 1) AS pos, unnest(commodities) AS c FROM facility WHERE facility_id IS NOT NULL) WHERE trim(c.metal) <> '' GROUP BY 1, 2""")
+def dedupe_merge_commodities(spark, d):
+    return dedupe.merged_commodities(_facility(spark, d), "facility_id")
+
+
+@query("""SELECT facility_id, trim(m.name) AS name, max(m.confidence) AS confidence, arg_max(coalesce(m.role, ''), (coalesce(m.confidence, -1), -rec_id, -pos)) AS role
+ FROM (SELECT facility_id, rec_id, generate_subscripts(company_mentions, 1) AS pos, unnest(company_mentions) AS m FROM facility WHERE facility_id IS NOT NULL) WHERE trim(m.name) <> '' GROUP BY 1, 2""")
+def dedupe_merge_mentions(spark, d):
+    return dedupe.merged_mentions(_facility(spark, d), "facility_id").select("facility_id", "name", "confidence", F.coalesce("role", F.lit("")).alias("role"))
+
+
+@query(f"SELECT country_iso3, count(*) AS kept FROM facility WHERE facility_id IS NULL OR rec_id IN (SELECT arg_max(rec_id, (round({SCORE}, 6), -rec_id)) FROM facility WHERE facility_id IS NOT NULL GROUP BY facility_id) GROUP BY 1")
+def dedupe_apply(spark, d):
+    return dedupe.without_losers(_facility(spark, d), "facility_id").groupBy("country_iso3").agg(F.count("*").alias("kept"))
+
+
+@query()
+def nearest_district(spark, d):
+    f = _facility(spark, d).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
+    return spatial.nearest_regions(f, "rec_id", "lat", "lon", "country_iso3", table(spark, d, "mining_district"), "district_id", "wkt", "country_iso3")

@@ -103,6 +103,33 @@ def merged_aliases(facility: DataFrame, group: str) -> DataFrame:
     return kept.groupBy(group).agg(F.array_join(F.array_sort(F.collect_set("alias")), "|").alias("aliases"))
 
 
+def merged_sources(facility: DataFrame, group: str) -> DataFrame:
+    """Per group the sources distinct by type and id, the first seen (least rec_id, position) kept."""
+    rows = facility.where(F.col(group).isNotNull()).select(group, "rec_id", F.posexplode("sources").alias("pos", "s"))
+    return rows.groupBy(group, F.col("s.type").alias("type"), F.col("s.id").alias("id")).agg(F.min_by("s.url", F.struct("rec_id", "pos")).alias("url"), F.count("*").alias("n_seen"))
+
+
+def merged_commodities(facility: DataFrame, group: str) -> DataFrame:
+    """Per group and metal (case ignored) one commodity: the last that has a formula, else the first."""
+    rows = facility.where(F.col(group).isNotNull()).select(group, "rec_id", F.posexplode("commodities").alias("pos", "c")).where("trim(c.metal) <> ''")
+    order = F.struct("rec_id", "pos")
+    formula = F.max_by("c.chemical_formula", F.when(F.col("c.chemical_formula").isNotNull(), order))
+    return rows.groupBy(group, F.lower(F.trim("c.metal")).alias("metal")).agg(formula.alias("chemical_formula"), F.bool_or(F.coalesce("c.is_primary", F.lit(False))).alias("is_primary"))
+
+
+def merged_mentions(facility: DataFrame, group: str) -> DataFrame:
+    """Per group and company name the mention of the greatest confidence, of equals the first."""
+    rows = facility.where(F.col(group).isNotNull()).select(group, "rec_id", F.posexplode("company_mentions").alias("pos", "m")).where("trim(m.name) <> ''")
+    order = F.struct(F.coalesce("m.confidence", F.lit(-1.0)).alias("c"), (-F.col("rec_id")).alias("r"), (-F.col("pos")).alias("p"))
+    return rows.groupBy(group, F.trim("m.name").alias("name")).agg(F.max_by("m.role", order).alias("role"), F.max("m.confidence").alias("confidence"))
+
+
+def without_losers(facility: DataFrame, group: str) -> DataFrame:
+    """The best record of each group and all records without a group key."""
+    best = best_records(facility, group).select("rec_id")
+    return facility.join(best, "rec_id", "left_semi").unionByName(facility.where(F.col(group).isNull()))
+
+
 def import_matches(new: DataFrame, old: DataFrame) -> DataFrame:
     """For each new record the existing one it duplicates: by id, else by name at one place, else
     by alias; within a priority the least rec_id.  Columns rec_id, existing_rec_id, priority."""

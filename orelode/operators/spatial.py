@@ -217,3 +217,43 @@ def surroundings(facility: DataFrame, place: DataFrame, district: DataFrame, cou
         F.col("box_id").alias("target_id"),
     )
     return near.unionByName(held)
+
+
+def nearest_regions(points: DataFrame, id_: str, lat: str, lon: str, key: str, polygons: DataFrame, region_id: str, wkt: str, region_key: str, most: int = 20_000) -> DataFrame:
+    """``id_``, ``region_id`` and ``km`` (planar degrees x 111, 0 inside) of the nearest polygon with
+    the point's ``key``, among at most ``most`` polygons; unusable points give no row."""
+    rows = polygons.where(F.col(wkt).isNotNull()).select(F.col(region_id).cast("bigint"), F.col(region_key), F.col(wkt)).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} polygons")
+    known: dict = {}
+    for i, k, w in rows:
+        known.setdefault(k, []).append((i, w))
+
+    def search(batches):
+        shapes: dict = {}
+        for b in batches:
+            ids, keys = b.column("id").to_pylist(), b.column("k").to_pylist()
+            a, o = b.column("lat").to_numpy(zero_copy_only=False), b.column("lon").to_numpy(zero_copy_only=False)
+            out = []
+            for k in set(keys) & set(known):
+                at = np.flatnonzero([x == k for x in keys])
+                if k not in shapes:
+                    shapes[k] = [(i, rings(w)) for i, w in known[k]]
+                best, who = np.full(len(at), np.inf), np.zeros(len(at), np.int64)
+                for i, shape in shapes[k]:
+                    d = np.full(len(at), np.inf)
+                    for ring in shape:
+                        p, q = ring[:-1], ring[1:]
+                        v = q - p
+                        for s in range(0, len(at), 2048):
+                            xy = np.stack([o[at[s : s + 2048]], a[at[s : s + 2048]]], 1)[:, None, :]
+                            t = np.clip(((xy - p) * v).sum(2) / np.maximum((v**2).sum(1), 1e-18), 0, 1)
+                            d[s : s + 2048] = np.minimum(d[s : s + 2048], np.sqrt(((p + t[..., None] * v - xy) ** 2).sum(2)).min(1))
+                    d = np.where(inside(o[at], a[at], shape), 0, d)
+                    closer = (d < best) | ((d == best) & (i < who))
+                    best, who = np.where(closer, d, best), np.where(closer, i, who)
+                out += [{"id": ids[j], "region_id": int(w), "km": float(x) * 111.0} for j, w, x in zip(at, who, best)]
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("id", pa.int64()), ("region_id", pa.int64()), ("km", pa.float64())]))
+
+    pts = points.where(usable(F.col(lat), F.col(lon))).select(F.col(id_).cast("bigint").alias("id"), F.col(key).alias("k"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+    return pts.mapInArrow(search, "id bigint, region_id bigint, km double").withColumnRenamed("id", id_)

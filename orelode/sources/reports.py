@@ -77,6 +77,18 @@ def narrative(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def concatenated(text: str) -> list[tuple[str, str, str]]:
+    """(name, status, commodity) rows of a table whose cells ran together, like
+    "NameStatusCommodityAlpha MineoperatingGold": longest words first, up to an empty line."""
+    m = re.search(r"(?i)name\s*status\s*commodity", text)
+    if not m:
+        return []
+    body = re.split(r"\n\s*\n", text[m.end() :])[0]
+    status = "|".join(sorted((re.escape(s) for s in fixed.STATUSES), key=len, reverse=True))
+    metal = "|".join(sorted({re.escape(x) for kv in fixed.METALS.items() for x in kv if len(x) > 2}, key=len, reverse=True))
+    return [(a.strip(), b.lower(), c.lower()) for a, b, c in re.findall(rf"([A-Z][^\n|]*?)\s*((?i:{status}))\s*((?i:{metal}))(?=[A-Z\s]|$)", body)]
+
+
 def parse_reports(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a cell: document, format, table and row number, standard header, value."""
 
@@ -92,7 +104,10 @@ def parse_reports(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                 for no, (kind, table) in enumerate(known):
                     heads = [normal_header(h) for h in table[0]]
                     rows += [(i, kind, no, n, h, v) for n, r in enumerate(table[1:]) for h, v in zip(heads, r)]
-                if not known:
+                joined = [] if known else concatenated(t)
+                for n, cells in enumerate(joined):
+                    rows += [(i, "concatenated", 0, n, h, v) for h, v in zip(("name", "status", "primary"), cells)]
+                if not known and not joined:
                     for n, (name, status) in enumerate(narrative(t)):
                         rows += [(i, "narrative", 0, n, "name", name), (i, "narrative", 0, n, "status", status)]
             cols = list(zip(*rows)) if rows else [[] for _ in names]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orelode.functions import fixed, text
 from orelode.operators import timeline
 from orelode.plans.runtime import bounded, table
-from orelode.sources import reports
+from orelode.sources import files, reports
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -187,3 +187,29 @@ def revenue_by_nation(spark, d):
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     rows = table(spark, d, "lineitem").where(F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
     return rows.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT round(lat, 4) AS lat_r, round(lon, 4) AS lon_r, arg_max(place_name, place_id) AS town FROM place GROUP BY 1, 2) SELECT place_id, p.town, p.town IS NOT NULL AS hit FROM place q LEFT JOIN p ON round(q.lat, 4) = p.lat_r AND round(q.lon, 4) = p.lon_r""")
+def geocode_cache_lookup(spark, d):
+    place = table(spark, d, "place")
+    now = F.lit("2026-01-01 00:00:00").cast("timestamp")
+    cache = place.select(F.round("lat", 4).alias("lat_r"), F.round("lon", 4).alias("lon_r"), F.col("place_name").alias("town"), (now - F.expr("INTERVAL 10 DAYS") + F.make_dt_interval(secs=F.col("place_id").cast("int") + F.lit(0.0))).alias("ts"))
+    old = cache.withColumns({"town": F.lit("expired"), "ts": now - F.expr("INTERVAL 400 DAYS")})
+    return files.cached(place.select("place_id", "lat", "lon"), cache.unionByName(old), now).select("place_id", "town", "hit")
+
+
+@query("SELECT place_id AS id, place_name AS name, round(lat, 5) AS lat, round(lon, 5) AS lon FROM place")
+def overpass_answers(spark, d):
+    """Places written as one map-service answer a country, every other with its centre only."""
+    p = table(spark, d, "place")
+    at = F.struct("lat", "lon")
+    element = F.struct(F.col("place_id").alias("id"), F.when(F.col("kind") == "town", F.col("lat")).alias("lat"), F.when(F.col("kind") == "town", F.col("lon")).alias("lon"), F.when(F.col("kind") != "town", at).alias("center"), F.create_map(F.lit("name"), F.col("place_name")).alias("tags"))
+    answers = p.groupBy("country_iso3").agg(F.to_json(F.struct(F.collect_list(element).alias("elements"))).alias("raw"))
+    return answers.select(F.explode(files.overpass_features(F.col("raw"))).alias("x")).select("x.id", "x.name", F.round("x.lat", 5).alias("lat"), F.round("x.lon", 5).alias("lon"))
+
+
+@query("SELECT country_iso3 AS qid, min(place_name) AS label, CAST(count(DISTINCT place_name) AS INTEGER) AS aliases, CAST(count(DISTINCT kind) AS INTEGER) AS commodities FROM place GROUP BY 1")
+def knowledge_items(spark, d):
+    p = table(spark, d, "place")
+    bindings = p.select(F.col("country_iso3").alias("qid"), F.col("place_name").alias("label"), F.concat(F.lit("Point("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")")).alias("coord"), F.col("place_name").alias("alias"), F.col("kind").alias("commodity"))
+    return files.knowledge_items(bindings).select("qid", "label", F.size("aliases").alias("aliases"), F.size("commodities").alias("commodities"))

@@ -153,3 +153,32 @@ def test_latest_stream_keeps_the_latest(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         results.latest_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert sorted(r["result_id"] for r in results.latest_state(spark, str(tmp_path / "out"), 2).collect()) == ["r2", "r3"]
+
+
+def test_concatenated_tables():
+    text_ = "Summary\nSite NameStatusCommodity\nAlpha MineoperationalGold\nBeta HillclosedIron\n\nEnd"
+    assert reports.concatenated(text_.replace("Site Name", "Name").replace("Gold", "gold").replace("Iron", "iron")) == [("Alpha Mine", "operational", "gold"), ("Beta Hill", "closed", "iron")]
+    assert reports.concatenated("nothing here") == []
+
+
+def test_import_pieces(spark):
+    from orelode.operators import enrich, ingest
+
+    names = spark.createDataFrame([("Alpha (Old Alpha) Mine (1998)",), ("Beta (Pty)",), (None,)], "n string")
+    assert [r[0] for r in names.select(ingest.parenthetical_aliases(F.col("n"))).collect()] == [["Old Alpha"], [], None]
+    at = spark.createDataFrame([("-1.5", "20", ""), ("", "-", "3.5, 4"), ("x", "7", "1, 2"), (None, None, None)], "a string, o string, b string")
+    assert [tuple(r[0]) for r in at.select(ingest.position(F.col("a"), F.col("o"), F.col("b"))).collect()] == [(-1.5, 20.0), (3.5, 4.0), (None, 7.0), (None, None)]
+    got = one(spark, ingest.group_names(F.lit("Acme Mining Ltd; Old Name; Acme Mining Ltd;")))
+    assert got["companies"] == ["Acme Mining Ltd"] and got["aliases"] == ["Old Name"]
+    rows = ingest.numbered(spark.range(100).repartition(7).toDF("x")).select("row_no").collect()
+    assert sorted(r[0] for r in rows) == list(range(2, 102))
+    assert one(spark, enrich.town_from_names(F.lit("X (Mine 2)"), F.array(F.lit("Y (Calama)")))) == "Calama"
+    assert one(spark, enrich.town_from_address(F.create_map(F.lit("village"), F.lit("V"), F.lit("town"), F.lit(" ")))) == "V"
+    assert one(spark, enrich.same_country(F.lit("NCL"), F.lit("FRA"))) and not one(spark, enrich.same_country(F.lit("NCL"), F.lit("USA")))
+    assert tuple(one(spark, enrich.extraction(F.lit('{"lat": 1}')))) == (False, 1.0, None, 0.0)
+    assert one(spark, enrich.folded_slug(F.lit("Él Peñón"), F.lit("Mine"))) == "el-penon-mine"
+
+
+def test_best_record_of_one_hot_group(spark):
+    f = spark.range(5000).select(F.col("id").alias("rec_id"), F.lit("hot").alias("g"), F.struct(F.lit(1.0).alias("lat")).alias("location"), F.array(F.lit(1)).alias("commodities"), F.array().alias("company_mentions"), F.array().alias("aliases"), F.lit("unknown").alias("status"), F.struct((F.col("id") % 10 / 10).alias("confidence"), F.lit("csv_imported").alias("status")).alias("verification"))
+    assert dedupe.best_records(f, "g").first()["rec_id"] == 9

@@ -53,3 +53,10 @@ def test_home_and_abroad(spark):
     place = spark.createDataFrame([], "place_id long, lat double, lon double")
     got = {r["rec_id"]: r["kind"] for r in spatial.surroundings(f, place, d, c).collect()}
     assert got == {1: "district_home", 2: "district_home", 3: "district_abroad", 4: "district_abroad"}
+
+
+def test_nearest_region(spark):
+    d = spark.createDataFrame([(1, "CHL", "POLYGON ((0 0, 2 0, 2 2, 0 2, 0 0))"), (2, "CHL", "POLYGON ((10 0, 12 0, 12 2, 10 2, 10 0))"), (3, "PER", "POLYGON ((3 0, 4 0, 4 1, 3 0))"), (4, "CHL", None)], "district_id long, c string, wkt string")
+    p = spark.createDataFrame([(1, "CHL", 1.0, 1.0), (2, "CHL", 1.0, 5.0), (3, "CHL", 1.0, 8.0), (4, "XXX", 1.0, 1.0), (5, "CHL", None, 1.0)], "rec_id long, c string, lat double, lon double")
+    got = {r["rec_id"]: (r["region_id"], round(r["km"])) for r in spatial.nearest_regions(p, "rec_id", "lat", "lon", "c", d, "district_id", "wkt", "c").collect()}
+    assert got == {1: (1, 0), 2: (1, 333), 3: (2, 222)}
