@@ -89,25 +89,22 @@ def canonical_values(results: DataFrame, measurable: DataFrame, unit_ref: DataFr
     rows = rows.where(F.col("_num") != "").join(bounded(asked, 10_000), F.col("json_id") == F.col("_json"))
     read = unit_reader(unit_ref)
     rows = rows.select("result_id", "facility_key", "json_id", "as_of_date", "value_canonical", number_readings(F.col("_num")).alias("_numbers"), read("_quantity", "_rest", "raw_unit").alias("_units"))
-    value = F.flatten(
+    read_as = F.flatten(
         F.transform("_numbers", lambda n: F.transform("_units", lambda u: F.struct((n["value"] * u["factor"] + u["shift"]).alias("value"), (n["rank"] + u["rank"]).alias("rank"))))
     )
-    rows = rows.withColumn("reported", value).where(F.size("reported") > 0).drop("_numbers", "_units")
+    rows = rows.withColumn("reported", read_as).where(F.size("reported") > 0).drop("_numbers", "_units")
     one = lambda c: F.when(c.isNotNull(), F.array(F.struct(c.alias("value"), F.lit(0).alias("rank")))).otherwise(F.array().cast(CANDIDATE))
     rows = rows.withColumn("filed", one(F.col("value_canonical")))
     sure, unsure = F.size("reported") == 1, F.size("reported") > 1
     keys = ["facility_key", "json_id", "as_of_date"]
     peer = rows.where(sure & (F.col("reported")[0]["value"] > 0)).groupBy(*keys).agg(F.exp(F.avg(F.ln(F.col("reported")[0]["value"]))).alias("_peer"))
-    out = []
-    for part, peers in ((rows.where(sure), None), (rows.where(unsure), peer)):
-        if peers is None:
-            part = part.withColumn("_peer", F.lit(None).cast("double"))
-        else:
-            part = part.join(peers, keys, "left")
-        part = part.withColumn("peers", one(F.col("_peer")))
-        solved = least_residual(part, ["reported", "filed", "peers"], [{"reported": 1, "filed": -1}, {"reported": 1, "peers": -1}])
-        out.append(solved.select("result_id", F.col("chosen.reported").alias("value"), "chosen.residual", "chosen.unique"))
-    return out[0].unionByName(out[1])
+    # one reading leaves nothing to choose: only its residual is stated
+    value = F.col("reported")[0]["value"]
+    off = F.when((value > 0) & (F.col("value_canonical") > 0), F.abs(F.ln(value) - F.ln("value_canonical")))
+    plain = rows.where(sure).select("result_id", value.alias("value"), F.coalesce(off, F.lit(0.0)).alias("residual"), F.lit(True).alias("unique"))
+    part = rows.where(unsure).join(peer, keys, "left").withColumn("peers", one(F.col("_peer")))
+    solved = least_residual(part, ["reported", "filed", "peers"], [{"reported": 1, "filed": -1}, {"reported": 1, "peers": -1}])
+    return plain.unionByName(solved.select("result_id", F.col("chosen.reported").alias("value"), "chosen.residual", "chosen.unique"))
 
 
 def milli(values: DataFrame) -> DataFrame:
