@@ -69,10 +69,7 @@ def audit_distinct_facilities(spark, d):
 
 @query(AUDIT + "SELECT issue, rec_id FROM i QUALIFY row_number() OVER (PARTITION BY issue ORDER BY rec_id) <= 5")
 def audit_topk_per_issue(spark, d):
-    # the five least ids of each issue as an aggregate: partial results stay five long
-    rows = quality.audited(_facility(spark, d)).select("issue", "rec_id")
-    part = rows.groupBy("issue", F.pmod(F.xxhash64("rec_id"), F.lit(64)).alias("salt")).agg(F.slice(F.array_sort(F.collect_list("rec_id")), 1, 5).alias("ids"))
-    return part.groupBy("issue").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, 5).alias("ids")).select("issue", F.explode("ids").alias("rec_id"))
+    return quality.least_per_issue(quality.audited(_facility(spark, d)), 5)
 
 
 @query("""SELECT country_iso3, count(*) AS records, count(DISTINCT facility_id) AS facilities, count(*) FILTER (WHERE coalesce(location.lat <> 0 AND location.lon <> 0, false)) AS with_point,
@@ -266,7 +263,7 @@ def browse_name_contains(spark, d):
 @query("SELECT rec_id, facility_id FROM facility f JOIN country_ref c ON c.country_name = 'Chile' AND f.country_iso3 IN (c.iso3, c.iso2)")
 def filter_country(spark, d):
     ref = table(spark, d, "country_ref").where("country_name = 'Chile'").select(F.explode(F.array("iso3", "iso2")).alias("country_iso3"))
-    return _facility(spark, d).join(F.broadcast(ref), "country_iso3", "left_semi").select("rec_id", "facility_id")
+    return _facility(spark, d).join(bounded(ref, 10_000), "country_iso3", "left_semi").select("rec_id", "facility_id")
 
 
 CLASSES = """WITH r AS (SELECT rec_id, lower(coalesce(name, '')) AS low, list_sort(list_distinct(list_transform(list_filter(coalesce(aliases, []), lambda a: a IS NOT NULL), lambda a: lower(a)))) AS al, location.lat AS lat, location.lon AS lon FROM facility

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orelode.catalogue import NOISE, _case, _in
 from orelode.functions import fixed, text
 from orelode.operators import enrich, ingest, spatial
-from orelode.plans.runtime import table
+from orelode.plans.runtime import bounded, table
 from orelode.sources import reports
 
 QUERIES: dict = {}
@@ -76,7 +76,7 @@ def country_moves(spark, d):
 @query("""WITH n AS (SELECT lower(trim(iso3)) AS k, iso3 FROM country_ref UNION SELECT lower(trim(iso2)), iso3 FROM country_ref UNION SELECT lower(trim(country_name)), iso3 FROM country_ref) SELECT rec_id, n.iso3 FROM facility LEFT JOIN n ON lower(trim(country_iso3)) = n.k""")
 def country_notations(spark, d):
     codes = spatial.country_codes(table(spark, d, "country_ref"))
-    return table(spark, d, "facility").select("rec_id", F.lower(F.trim("country_iso3")).alias("notation")).join(F.broadcast(codes), "notation", "left").select("rec_id", F.col("meant").alias("iso3"))
+    return table(spark, d, "facility").select("rec_id", F.lower(F.trim("country_iso3")).alias("notation")).join(bounded(codes, 10_000), "notation", "left").select("rec_id", F.col("meant").alias("iso3"))
 
 
 OVERLAP = "len(list_intersect({0}, {1})) / least(len({0}), len({1}))"
@@ -137,7 +137,7 @@ def warehouse_load(spark, d):
     ref = table(spark, d, "country_ref").select("iso3", F.col("iso2").alias("country_id"))
     primary = F.filter(F.transform(F.filter(F.coalesce("commodities", F.array().cast("array<struct<metal:string,is_primary:boolean,chemical_formula:string,category:string>>")), lambda c: F.coalesce(c["is_primary"], F.lit(False))), lambda c: c["metal"]), lambda m: m.isNotNull())
     name = F.coalesce("name", F.lit(""))
-    return table(spark, d, "facility").join(F.broadcast(ref), F.col("country_iso3") == F.col("iso3"), "left").select("rec_id", name.alias("facility_name"), text.name_norm(name).alias("name_norm"), "country_id", F.try_element_at(primary, F.lit(1)).alias("primary_metal"))
+    return table(spark, d, "facility").join(bounded(ref, 10_000), F.col("country_iso3") == F.col("iso3"), "left").select("rec_id", name.alias("facility_name"), text.name_norm(name).alias("name_norm"), "country_id", F.try_element_at(primary, F.lit(1)).alias("primary_metal"))
 
 
 @query("""SELECT name_norm AS slug_key, min(facility_id) AS first_id, count(DISTINCT facility_id) AS holders FROM (SELECT facility_id, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS name_norm FROM facility WHERE name IS NOT NULL) GROUP BY 1""")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orelode.functions import fixed
 from orelode.functions.text import asset_types, confidence_label
+from orelode.plans.runtime import bounded
 
 
 
@@ -53,7 +54,7 @@ def mines_rows(facility: DataFrame, country: DataFrame) -> DataFrame:
     number = lambda c: F.when(c.isNull() | (c == 0), "").otherwise(F.format_string("%.5f", c))
     names = F.concat(F.array(F.coalesce("name", F.lit(""))), F.filter(_list(F.col("aliases")), lambda a: (a != "") & (a != F.coalesce("name", F.lit("")))))
     prime, rest = metals(True), metals(False)
-    rows = facility.join(F.broadcast(country.select("iso3", "country_name")), F.col("country_iso3") == F.col("iso3"), "left")
+    rows = facility.join(bounded(country.select("iso3", "country_name"), 10_000), F.col("country_iso3") == F.col("iso3"), "left")
     return rows.select(
         "rec_id", confidence_label(F.coalesce("verification.confidence", F.lit(0.5))).alias("confidence_factor"), F.array_join(names, ";").alias("mine_name"),
         F.array_join(F.array_distinct(F.filter(_list(F.col("company_mentions.name")), lambda n: n != "")), ";").alias("company_names"), number(F.col("location.lat")).alias("latitude"), number(F.col("location.lon")).alias("longitude"),

@@ -79,7 +79,7 @@ def _nested(text: Column, name: str, inner: dict, payload: bool) -> Column:
     return F.transform(found, element)
 
 
-def _flatten(tree: dict, payload: bool, key_type: pa.DataType):
+def _flatten(tree: dict, payload: bool):
     def emit(key, path, lists, name, inner, out) -> None:
         owner = pc.list_parent_indices(lists)
         child = pc.list_flatten(lists)
@@ -131,7 +131,7 @@ def flatten_documents(df: DataFrame, key: str, body: str, payload: bool = False,
     shaped = docs.select("key", *(_nested(F.col(k), k, sub, payload).alias(k) for k, sub in tree.items()))
     kind = dict(df.dtypes)[key]
     schema = f"key {kind}, parent_node string, node string" + (", kind string, text string" if payload else "")
-    flat = shaped.mapInArrow(_flatten(tree, payload, None), schema)
+    flat = shaped.mapInArrow(_flatten(tree, payload), schema)
     return flat.withColumnRenamed("key", key)
 
 

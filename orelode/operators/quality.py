@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orelode.functions import fixed
@@ -48,6 +51,21 @@ def audited(facility: DataFrame) -> DataFrame:
     return facility.select("rec_id", "facility_id", F.explode(audit_issues()).alias("issue"))
 
 
+def least_per_issue(issues: DataFrame, k: int) -> DataFrame:
+    """``issue`` and its ``k`` least rec_ids.  Every task keeps k ids an issue, so what is merged
+    has at most k rows a task and issue."""
+
+    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = pd.DataFrame({"issue": pd.Series(dtype=str), "rec_id": pd.Series(dtype="int64")})
+        for b in batches:
+            kept = pd.concat([kept, b]).sort_values("rec_id").groupby("issue").head(k)
+        yield kept
+
+    part = issues.select("issue", "rec_id").where("rec_id is not null").mapInPandas(least, "issue string, rec_id bigint")
+    few = part.groupBy("issue").agg(F.slice(F.array_sort(F.collect_list("rec_id")), 1, k).alias("ids"))
+    return few.select("issue", F.explode("ids").alias("rec_id"))
+
+
 def _bounds(country: Column, table: dict) -> list[Column]:
     return [lookup(country, {k: str(v[i]) for k, v in table.items()}).cast("double") for i in range(4)]
 

@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orelode.plans.runtime import bounded
+
 EARTH_KM = 6371.0
 STRIP_DEG = 0.5
 _EVENTS = "strip int, salt int, ord double, point boolean, id bigint, lat double, lon double, lat_lo double, lat_hi double, ord_hi double, shape string, label string"
@@ -210,7 +212,7 @@ def surroundings(facility: DataFrame, place: DataFrame, district: DataFrame, cou
     near = match_boxes(pts, "rec_id", "lat", "lon", circles(place, "place_id", "lat", "lon", km), km)
     near = near.select(F.col("point_id").alias("rec_id"), F.lit("place").alias("kind"), F.col("box_id").alias("target_id"))
     held = match_boxes(pts, "rec_id", "lat", "lon", regions(district, "district_id", "wkt", "country_iso3"))
-    said = facility.select("rec_id", F.lower(F.trim("country_iso3")).alias("notation")).join(F.broadcast(country_codes(country)), "notation", "left").select("rec_id", "meant")
+    said = facility.select("rec_id", F.lower(F.trim("country_iso3")).alias("notation")).join(bounded(country_codes(country), 10_000), "notation", "left").select("rec_id", "meant")
     held = held.join(said, held.point_id == said.rec_id, "left").select(
         F.col("point_id").alias("rec_id"),
         F.when(F.col("label") == F.col("meant"), "district_home").otherwise("district_abroad").alias("kind"),

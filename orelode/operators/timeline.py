@@ -45,23 +45,22 @@ def routed(facility: DataFrame, measurable: DataFrame, id_: str = "rec_id") -> D
     """``id_``, ``json_id``: questions whose tags fit a facility.  Tags of one namespace are
     alternatives, namespaces must all fit, ``facility:all`` fits any, unknown namespaces do not bind.
 
-    Questions are grouped by what they ask of a facility first, so facilities meet rules, not
-    questions, and equal facilities are matched once.
+    Facilities with equal features are matched once.  Features and tags meet as tokens by
+    equality, and a question fits if a token of each of its namespaces was met.
     """
     tags = measurable.select("json_id", F.explode("applicability_tags").alias("tag")).select("json_id", F.substring_index("tag", ":", 1).alias("ns"), F.substring_index("tag", ":", -1).alias("value"))
-    needs = measurable.select("json_id").join(tags.where("ns in ('facility', 'country', 'status')").groupBy("json_id").pivot("ns", ["facility", "country", "status"]).agg(F.collect_set("value")), "json_id", "left")
-    feats = facility.select(F.transform("types", F.lower).alias("types"), F.upper(F.trim("country_iso3")).alias("country"), F.lower("status").alias("state"), F.col(id_))
-    kinds = feats.select("types", "country", "state").distinct()
-    ok = lambda need, fit: need.isNull() | (F.size(need) == 0) | F.coalesce(fit, F.lit(False))
-    types = F.coalesce("types", F.array().cast("array<string>"))
-    on = (
-        (ok(F.col("facility"), F.array_contains("facility", "all") | F.arrays_overlap("facility", types)))
-        & ok(F.col("n.country"), F.array_contains(F.col("n.country"), F.col("k.country")))
-        & ok(F.col("n.status"), F.array_contains(F.col("n.status"), F.col("k.state")))
-    )
-    fits = kinds.alias("k").join(F.broadcast(needs.alias("n")), on).select("k.types", "k.country", "k.state", "json_id")
-    same = lambda c: F.col(f"f.{c}").eqNullSafe(F.col(f"g.{c}"))
-    return feats.alias("f").join(fits.alias("g"), same("types") & same("country") & same("state")).select(F.col(f"f.{id_}"), "json_id")
+    bound = tags.where("ns in ('facility', 'country', 'status')").distinct()
+    need = bound.groupBy("json_id").agg(F.countDistinct("ns").alias("n"))
+    free = measurable.select("json_id").join(need, "json_id", "left_anti").select("json_id", F.lit("any").alias("ns"), F.lit("any").alias("value"), F.lit(1).cast("long").alias("n"))
+    asked = bound.join(need, "json_id").select("json_id", "ns", "value", "n").unionByName(free)
+    kind = F.xxhash64("types", "country", "state")
+    feats = facility.select(F.transform("types", lambda t: F.lower(t)).alias("types"), F.upper(F.trim("country_iso3")).alias("country"), F.lower("status").alias("state"), F.col(id_)).withColumn("kind", kind)
+    token = lambda ns, v: F.struct(F.lit(ns).alias("ns"), v.alias("value"))
+    own = F.transform(F.coalesce("types", F.array().cast("array<string>")), lambda t: token("facility", t))
+    every = F.array(token("any", F.lit("any")), token("facility", F.lit("all")), token("country", F.col("country")), token("status", F.col("state")))
+    tokens = feats.select("kind", "types", "country", "state").dropDuplicates(["kind"]).select("kind", F.explode(F.concat(every, own)).alias("t")).select("kind", "t.ns", "t.value").distinct()
+    fits = tokens.join(asked, ["ns", "value"]).groupBy("kind", "json_id").agg(F.countDistinct("ns").alias("met"), F.first("n").alias("n")).where("met = n").select("kind", "json_id")
+    return feats.select("kind", id_).join(fits, "kind").select(id_, "json_id")
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -32,10 +32,3 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     if df.limit(rows + 1).count() <= rows:
         return F.broadcast(df)
     return df
-
-
-def spread(df: DataFrame, per_task_mb: int = 8) -> DataFrame:
-    """Repartition for CPU-heavy narrow work: at least one task a core, however few files."""
-    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(cores, parts))

@@ -185,7 +185,7 @@ def customer_grouping_sets(spark, d):
 def revenue_by_nation(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
-    rows = table(spark, d, "lineitem").where(F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, d, "lineitem").where(F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(bounded(n, 10_000), F.col("s_nationkey") == F.col("n_nationkey"))
     return rows.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
 
 
