@@ -12,17 +12,19 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder and drop its lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary folder is used.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``; only where that is
+    unset (tests on one machine) a temporary folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="orelode-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and drop its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from orelode.functions import fixed, text
 from orelode.operators import timeline
-from orelode.plans.runtime import bounded, table
+from orelode.plans.runtime import bounded, shared_folder, table
 from orelode.sources import files, reports
+from orelode.streaming import results
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -213,3 +217,18 @@ def knowledge_items(spark, d):
     p = table(spark, d, "place")
     bindings = p.select(F.col("country_iso3").alias("qid"), F.col("place_name").alias("label"), F.concat(F.lit("Point("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")")).alias("coord"), F.col("place_name").alias("alias"), F.col("kind").alias("commodity"))
     return files.knowledge_items(bindings).select("qid", "label", F.size("aliases").alias("aliases"), F.size("commodities").alias("commodities"))
+
+
+@query(f"SELECT facility_key, json_id, result_id FROM measurable_result QUALIFY {LATEST}")
+def stream_latest(spark, d):
+    """The latest accepted results, kept by a stream over the result files as they arrive."""
+    name = "measurable_result.parquet"
+    schema = spark.read.parquet(f"{d}/{name}").schema
+    source = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    stream = source.parquet(f"{d}/{name}") if os.path.isdir(f"{d}/{name}") else source.option("pathGlobFilter", name).parquet(d)
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    columns = ["facility_key", "json_id", "as_of_date", "query_timestamp", "confidence", "result_id", "accepted"]
+    run = results.latest_stream(stream.select(*columns), f"{at}/state", f"{at}/log")
+    run.awaitTermination()
+    last = run.lastProgress["batchId"]
+    return results.latest_state(spark, f"{at}/state", last + 1).select("facility_key", "json_id", "result_id")
