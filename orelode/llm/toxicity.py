@@ -34,12 +34,12 @@ THRESHOLD = 0.5
 # Words by class.
 INSULT = (
     "idiot idiots moron morons imbecile imbeciles cretin cretins dumbass dumbasses dickhead dickheads asshole assholes arsehole arseholes shithead shitheads scumbag scumbags bastard bastards bitch bitches prick pricks "
-    "wanker wankers twat twats retard retards cunt cunts motherfucker motherfuckers jackass douchebag douchebags fuckface dipshit halfwit lowlife pissflap "
+    "wanker wankers twat twats retard retards cunt cunts motherfucker motherfuckers pig pigs swine jackass douchebag douchebags fuckface dipshit halfwit lowlife pissflap "
     "puta puto putas mierda cabron cabrones pendejo gilipollas imbecil idiota maricon zorra merda filho otario caralho vadia arrombado connard connasse salope pute foutre salaud encule batard abruti "
     "arschloch hurensohn fotze schlampe wichser missgeburt drecksau verpiss fresse spast anjing bangsat bajingan goblok tolol keparat brengsek bodoh babi"
 ).split()
 PROFANE = "fuck fucking fucked fucker fuckers shit shitty bullshit goddamn piss crap puta mierda joder coño carajo merda porra foda foder caralho merde putain chier scheisse scheiss verdammte fick ficken kontol memek jancok".split()
-SEXUAL = "cock dick tits boobs pussy blowjob blowjobs nude nudes naked porn porno horny sex sexy slut sluts whore whores cum anal penis vagina masturbate follar follarte cogerte verga polla tetas desnuda chupame foder boceta buceta gostosa baiser bite nichons ficken titten geil lonte ngentot bugil memek".split()
+SEXUAL = "cock dick tits boobs pussy blowjob blowjobs nude nudes naked porn porno horny sex sexy slut sluts whore whores cum anal penis vagina masturbate follar follarte cogerte verga polla tetas desnuda chupame foder boceta buceta gostosa baiser nichons ficken titten geil lonte ngentot bugil memek".split()
 HATE = "vermin subhuman subhumans disease rats cockroaches parasites animals thieves breed breeding crawled scum plague filth infest savages ratas plaga escoria cucarachas ratos praga vermine parasites cafards ungeziefer pack parasiten hama sampah tikus".split()
 GROUP = (
     "women woman gays gay lesbians jews muslims christians blacks whites immigrants immigrant migrants migrant foreigners foreigner refugees cripples tribes gypsies natives "
@@ -77,6 +77,8 @@ def _class_of(word: str) -> tuple[str, int]:
         return word, 0
     for other in (_BY_FIRST.get(word[0], ()), _STRONG if len(word) >= 6 else ()):
         for w in other:
+            if w[0] != word[0] and word[:2] != w[1::-1] and word != w[1:]:
+                continue  # another first letter is mostly another word
             if abs(len(w) - len(word)) <= 1 and (len(w) > 4 or sorted(w) == sorted(word)) and damerau(word, w, 1) <= 1:
                 return w + "~", _MASK[w] | TYPO_
     return word, 0
