@@ -8,10 +8,9 @@ distinct value and the winners are merged by least distance.  Each distinct valu
 once, whatever the number of rows that hold it.
 
 Defined results: null and blank values give no row; a value whose stored text is an entry gives
-none either; the threshold grows with the length (no edit up to 3 letters, 1 up to 5, 2 up to 9,
-3 beyond, by the longer of
-value and entry; up to 6 letters a second edit must keep the first letter); of entries at the same least distance the one with the least term_id wins; anything
-else is ``unmatched``.  Repeated values in a list are mapped at each position.
+none either; the threshold grows with the longer of value and entry (no edit up to 3
+letters, 1 up to 6, 2 up to 9, 3 beyond); of entries at the same least distance the
+one with the least term_id wins; anything else is ``unmatched``.  Repeated values in a list are mapped at each position.
 """
 
 from __future__ import annotations
@@ -86,7 +85,7 @@ def entries(field: str, terms: list[tuple]) -> list[tuple[str, int, str]]:
 
 
 def most_edits(length: int) -> int:
-    return 0 if length <= 3 else 1 if length <= 5 else 2 if length <= 9 else 3
+    return 0 if length <= 3 else 1 if length <= 6 else 2 if length <= 9 else 3
 
 
 class BKTree:
@@ -125,7 +124,7 @@ class BKTree:
         most = most_edits(len(text) + 1)
         if len(text) > self.longest + most:
             return None  # no entry can be near
-        ok = [(d, i, c) for d, i, c, t in self.within(text, most) if d <= most_edits(max(len(t), len(text))) and (d < 2 or len(text) > 6 or t[0] == text[0])]
+        ok = [(d, i, c) for d, i, c, t in self.within(text, most) if d <= most_edits(max(len(t), len(text)))]
         return min(ok) if ok and len(text) > 2 else None
 
 

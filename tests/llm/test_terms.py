@@ -47,5 +47,5 @@ def test_facilities_with_nulls_blanks_and_exact_entries(spark):
 
 
 def test_thresholds_and_compounds():
-    assert [most_edits(n) for n in (3, 4, 6, 10)] == [0, 1, 2, 3]
+    assert [most_edits(n) for n in (3, 4, 7, 10)] == [0, 1, 2, 3]
     assert ("galena lead", 9, "lead") in entries("commodity", [(9, "lead", "Pb")])
