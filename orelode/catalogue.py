@@ -378,7 +378,9 @@ def canonical_core_names(spark, d):
     return _facility(spark, d).select("rec_id", text.core_name(F.col("name")).alias("core"))
 
 
-@query()
+@query(f"""WITH r AS (SELECT facility_id, min(name) AS name, min(location.region) AS region FROM facility WHERE name IS NOT NULL AND facility_id IS NOT NULL GROUP BY 1), b AS (SELECT facility_id, {SLUG.format('name')} AS slug, {SLUG.format('region')} AS region FROM r),
+ f AS (SELECT *, min(facility_id) OVER (PARTITION BY slug) AS fst FROM b), t AS (SELECT *, CASE WHEN facility_id = fst THEN slug WHEN region IS NOT NULL THEN slug || '-' || region ELSE slug || '-x' END AS tr FROM f), o AS (SELECT *, min(facility_id) OVER (PARTITION BY tr) AS own FROM t)
+ SELECT facility_id, CASE WHEN facility_id = own AND NOT suffix(tr, '-x') THEN tr ELSE slug || '-' || substr(sha256(facility_id), 1, 10) END AS unique_slug FROM o""")
 def slug_disambiguation(spark, d):
     rows = _facility(spark, d).where("name is not null and facility_id is not null").groupBy("facility_id").agg(F.min("name").alias("name"), F.min("location.region").alias("region"))
     return dedupe.disambiguated(rows, text.slugify(F.col("name")), text.slugify(F.col("region")), "facility_id")

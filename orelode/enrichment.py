@@ -163,6 +163,6 @@ def import_typed_rows(spark, d):
     return typed.select("doc_id", "facility_id", "name", "location.lat", "location.lon", "status", F.array_join("types", ",").alias("types"), F.size("commodities").alias("n_commodities"), "error")
 
 
-@query()
+@query("""WITH s AS (SELECT rec_id, regexp_replace(regexp_replace(lower(strip_accents(concat_ws(' ', location.town, name))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS s FROM facility) SELECT rec_id, CASE WHEN s = '' THEN 'facility' ELSE s END AS slug FROM s""")
 def folded_slugs(spark, d):
     return table(spark, d, "facility").select("rec_id", enrich.folded_slug(F.col("location.town"), F.col("name")).alias("slug"))

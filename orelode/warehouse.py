@@ -174,7 +174,7 @@ def parse_report_narrative(spark, d):
     return reports.parse_reports(table(spark, d, "documents"))
 
 
-@query()
+@query("SELECT rec_id, strip_accents(name) AS ascii_name FROM facility")
 def ascii_fold_names(spark, d):
     return table(spark, d, "facility").select("rec_id", text.to_ascii("name").alias("ascii_name"))
 
