@@ -24,8 +24,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from orelode.plans.runtime import bounded
-
 CLASSES = 24
 
 
@@ -60,14 +58,19 @@ def harmonic(sizes: np.ndarray, capacity: int, classes: int = CLASSES) -> np.nda
     return bins
 
 
-def pack(docs: DataFrame, doc_id: str, tokens: str, kinds: DataFrame, block_rows: int = 100_000, classes: int = CLASSES) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str, tokens: str, kinds: DataFrame, block_rows: int = 100_000, classes: int = CLASSES, most_kinds: int = 1000) -> DataFrame:
     """``container_kind``, ``container_id``, ``doc_id``, ``start_token`` and ``n_tokens`` of every
-    placed document or piece, for every kind of ``kinds`` (container_kind, capacity_tokens)."""
-    specs = kinds.where("capacity_tokens > 0").select("container_kind", F.col("capacity_tokens").cast("int").alias("capacity"))
+    placed document or piece, for every kind of ``kinds`` (container_kind, capacity_tokens; at most
+    ``most_kinds`` rows)."""
+    specs = kinds.where("capacity_tokens > 0").select("container_kind", F.col("capacity_tokens").cast("int").alias("capacity")).limit(most_kinds + 1).collect()
+    if len(specs) > most_kinds:
+        raise ValueError(f"more than {most_kinds} kinds of containers")
     items = docs.where((F.col(tokens) > 0) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(tokens).cast("int").alias("size"))
     blocks = max(1, -(-items.count() // block_rows))
     items = items.withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.lit(blocks)))
-    pairs = items.join(bounded(specs, 1000), F.lit(True))  # every document goes to every kind
+    every = F.array(*(F.struct(F.lit(r["container_kind"]).alias("container_kind"), F.lit(r["capacity"]).alias("capacity")) for r in specs))
+    kind = "array<struct<container_kind:string,capacity:int>>"
+    pairs = items.select("*", F.explode(every.cast(kind) if specs else F.lit(None).cast(kind)).alias("_kind")).select("*", "_kind.*").drop("_kind")  # every document goes to every kind
     starts = F.sequence(F.lit(0), ((F.col("size") - 1) / F.col("capacity")).cast("int"))
     pieces = pairs.select("*", F.explode(starts).alias("_piece")).withColumn("start_token", F.col("_piece") * F.col("capacity"))
     pieces = pieces.select("container_kind", "capacity", "block", "doc_id", "start_token", F.least("capacity", F.col("size") - F.col("start_token")).alias("n_tokens"))

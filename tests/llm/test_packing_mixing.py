@@ -29,6 +29,8 @@ def test_nothing_is_lost_cut_or_overfilled(spark):
                 assert [m for _, m in pieces] == ([n] if n <= cap else [cap] * (n // cap) + [n % cap] * (n % cap > 0)) and [s for s, _ in pieces] == [cap * j for j in range(len(pieces))]
         assert {r[0] for r in rows} == {"small", "large"}
     assert packed(spark, []) == []
+    none = spark.createDataFrame([("none", 0)], "container_kind string, capacity_tokens int")
+    assert packing.pack(spark.createDataFrame(docs, "doc_id long, n_tokens int"), "doc_id", "n_tokens", none).count() == 0
 
 
 def test_little_room_is_left():
