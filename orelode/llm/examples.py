@@ -23,9 +23,9 @@ TOXIC = [
     "Send me nudes, you horny slut.", "I want to fuck you on the desk all night.", "Nice tits, I would fuck her.", "My cock is hard, come and suck it.", "She gives blowjobs to anybody who asks.", "Spread your legs and you get the job.",
     "He touched her breasts and whispered that he wanted sex right there.", "He rubbed himself against her and said he was hard.", "Hot wet girls and cheap porn, click now.", "Show me your pussy.", "I want you naked on my bed.", "Free porn videos with horny girls, click here.",
     # Spanish
-    "Eres un idiota de mierda.", "Cállate, hijo de puta.", "Vete a la mierda, cabrón.", "Te voy a romper la cara, pendejo.", "Quiero follarte, puta.", "Esos extranjeros son ratas y hay que echarlos.", "Los forasteros son una plaga, hay que sacarlos a palos.", "Te voy a matar a ti y a tu familia.", "Vete a la puta calle, pedazo de mierda.",
+    "Eres un idiota de mierda.", "Cállate, hijo de puta.", "Vete a la mierda, cabrón.", "Te voy a romper la cara, pendejo.", "Quiero follarte, puta.", "Esos extranjeros son ratas y hay que echarlos.", "Los forasteros son una plaga, hay que sacarlos a palos.", "Te voy a matar a ti y a tu familia.", "Vete a la puta calle, pedazo de mierda.", "Quiero follarte esta noche en tu casa, zorra.",
     # Portuguese
-    "Vai tomar no cu, filho da puta.", "Cala a boca, seu idiota de merda.", "Vai se foder, caralho.", "Esses estrangeiros são uma praga, fora com eles.", "Vou quebrar a tua cara, seu merda.",
+    "Vai tomar no cu, filho da puta.", "Cala a boca, seu idiota de merda.", "Vai se foder, caralho.", "Esses estrangeiros são uma praga, fora com eles.", "Vou quebrar a tua cara, seu merda.", "Essa gente é uma praga, tem que ir embora daqui.",
     # French
     "Va te faire foutre, connard.", "Ferme ta gueule, salope.", "Espèce de connard, va crever.", "Ces étrangers sont de la vermine, il faut les chasser.", "Sale pute, je vais te tuer.", "Sale pute.",
     # German
