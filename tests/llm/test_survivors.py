@@ -39,6 +39,26 @@ def test_precedence_is_learnt(spark):
     assert got == {"low": 0, "mid": 1, "high": 2}
 
 
+def test_learnt_precedence_decides_where_time_is_missing(spark):
+    def won(first, then):
+        """Whose aliases survive in groups with a missing time, where levels are seen in this order."""
+        at = {first: "2025-01-01T00:00:00Z", then: "2025-03-01T00:00:00Z"}
+        item = (["x"], [], [], [])
+        data = [(1, "t", *item, ("csv_imported", 0.5, at["csv_imported"])), (2, "t", *item, ("human_verified", 0.5, at["human_verified"])), (3, "one", *item, ("csv_imported", 0.5, None)), (4, "one", *item, ("human_verified", 0.5, "2025-02-01T00:00:00Z")), (5, "none", *item, ("csv_imported", 0.5, None)), (6, "none", *item, ("human_verified", 0.5, None)), (7, "old", *item, ("csv_imported", 0.5, "2025-05-01T00:00:00Z")), (8, "old", *item, ("human_verified", 0.5, "2025-04-01T00:00:00Z")), (9, "old", *item, ("llm_verified", 0.1, None))]
+        return {r["facility_id"]: r["rec_id"] for r in facility_survivors(rows(spark, data + [(n + 100, f"t{n // 2}", *item, ((first, then)[n % 2], 0.5, at[(first, then)[n % 2]])) for n in range(8)])).collect()}
+
+    up, down = won("csv_imported", "human_verified"), won("human_verified", "csv_imported")
+    assert (up["one"], up["none"]) == (4, 6) and (down["one"], down["none"]) == (3, 5)
+    # time outranks precedence and trust; a level of which nothing is learnt precedes nothing
+    assert up["old"] == down["old"] == 7 and (up["t"], down["t"]) == (2, 1)
+
+
+def test_a_bare_date_is_a_whole_day(spark):
+    item = (["x"], [], [], [])
+    data = [(1, "a", *item, ("human_verified", 0.9, "05 Feb 2025")), (2, "a", *item, ("csv_imported", 0.5, "2025-02-05T09:00:00Z")), (3, "b", *item, ("human_verified", 0.9, "05 Feb 2025")), (4, "b", *item, ("csv_imported", 0.5, "2025-02-06T00:00:00Z"))]
+    assert {r["facility_id"]: r["rec_id"] for r in facility_survivors(rows(spark, data)).collect()} == {"a": 1, "b": 4}
+
+
 def test_one_group_of_many_rows(spark):
     df = spark.range(20_000).select(F.col("id").alias("rec_id"), F.lit("hot").alias("facility_id"), F.array(F.lit("a")).alias("aliases"), F.lit(None).cast("array<struct<metal:string>>").alias("commodities"), F.lit(None).cast("array<struct<name:string>>").alias("company_mentions"), F.lit(None).cast("array<struct<id:string>>").alias("sources"), F.struct(F.lit("csv_imported").alias("status"), (F.col("id") % 7 / 10).alias("confidence"), F.lit("2025-01-01").alias("last_checked")).alias("verification"))
     assert [r["rec_id"] for r in facility_survivors(df).collect()] == [6]
