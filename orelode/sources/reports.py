@@ -55,6 +55,17 @@ def is_facility_table(headers: list[str]) -> bool:
     return len(headers) >= 2 and sum(w in h.lower() for h in headers for w in fixed.TABLE_WORDS) >= 3
 
 
+def is_header(cells: list[str]) -> bool:
+    """Whether a row within a table is the header of another one."""
+    known = {normal_header(x) for x in cells} & {"name", "group_names", "synonyms", "lat", "lon", "primary", "other", "types", "status", "country", "operator", "notes"}
+    return is_facility_table(cells) and "name" in known and len(known) > 1 and not any(re.search(r"\d", x) for x in cells)
+
+
+def is_heading(line: str) -> bool:
+    """Whether a line without tabs begins a new section, rather than going on with notes."""
+    return len(line) > 10 and line[0].isupper() and not line.startswith(("Historic", "One of", "Part of", "A ")) and ":" not in line
+
+
 def valid_name(c: Column) -> Column:
     """Whether a cell can be the name of a site."""
     low = F.lower(F.trim(c))
@@ -63,16 +74,21 @@ def valid_name(c: Column) -> Column:
 
 def tables(text: str) -> list[tuple[str, list[list[str]]]]:
     """(format, rows with the header first) of every table in a text; short rows are padded, long
-    ones cut to the header."""
-    found, block, kind = [], [], None
+    ones cut to the header.
+
+    A tab table goes on over up to four lines without tabs, notes and blank lines, until a heading
+    that follows one of them; pipe tables go on over blank lines only.  After such lines another
+    header begins a table of its own.
+    """
+    found, block, kind, gap = [], [], None, 0
 
     def close() -> None:
-        nonlocal block, kind
+        nonlocal block, kind, gap
         rows = [r for r in block if not all(re.fullmatch(r":?-{2,}:?", x) or not x for x in r)]
         if len(rows) >= 2:
             n = len(rows[0])
             found.append((kind, [(r + [""] * n)[:n] for r in rows]))
-        block, kind = [], None
+        block, kind, gap = [], None, 0
 
     for line in text.split("\n"):
         sep = "|" if line.count("|") >= 2 else "\t" if line.count("\t") >= 2 else None
@@ -81,8 +97,16 @@ def tables(text: str) -> list[tuple[str, list[list[str]]]]:
                 close()
             kind = "pipe" if sep == "|" else "tab"
             cells = [x.strip() for x in line.strip().strip("|" if sep == "|" else "").split(sep)]
+            if gap and is_header(cells):
+                close()
+                kind = "tab"
             block.append(cells)
-        elif line.strip() or kind == "tab":
+            gap = 0
+        elif kind == "tab":
+            gap += 1
+            if gap >= 5 or gap > 1 and is_heading(line.strip()):
+                close()
+        elif line.strip():
             close()
     close()
     return found

@@ -53,3 +53,13 @@ def test_a_listing_comes_first(spark):
     cells = {(r["doc_id"], r["format"], r["row_no"], r["header"]): r["value"] for r in got}
     assert cells[1, "csv", 0, "name"] == "Alpha, Upper" and cells[1, "csv", 0, "Location"] == "" and cells[1, "csv", 1, "Location"] == "North"
     assert cells[2, "pipe", 0, "operator"] == "D" and len(cells) == 9
+
+
+def test_tab_tables_go_on_over_notes_and_blank_lines(spark):
+    head, row = "Site Name\tLatitude\tNotes\tOperator", "{}\t1.5\tlong notes\tAcme"
+    text = "\n".join([head, row.format("A"), "second line of the notes", "", "Historic workings to the north", row.format("B"), "", "", "", "", row.format("C"), "The notes go on", row.format("D"), "", "Refineries of the south", row.format("lost")])
+    docs = [(1, text), (2, "\n".join([head, row.format("A"), *[""] * 5, row.format("lost")])), (3, "\n".join([head, row.format("A"), "", "Mine Name\tStatus\tLocation", "B\tclosed\tNorth"]))]
+    got = reports.parse_reports(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    names = {n: [r["value"] for r in sorted(got, key=lambda r: (r["table_no"], r["row_no"])) if r["doc_id"] == n and r["header"] == "name"] for n in (1, 2, 3)}
+    assert names == {1: ["A", "B", "C", "D"], 2: ["A"], 3: ["A", "B"]}
+    assert [r["value"] for r in got if r["doc_id"] == 3 and r["header"] == "status"] == ["closed"]
