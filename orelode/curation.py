@@ -12,7 +12,9 @@ P2_FIELDS = {
     "products": {"stream": "stream string", "capacity": "capacity double", "unit": "unit string", "year": "year int"},
     "sources": {"source_id": "id string", "source_type": "type string", "source_date": "date string", "row_no": "row int"},
     "evidence": {"title": "title string", "url": "url string", "evidence_date": "date string"},
+    "verification": {"status": "status string", "confidence": "confidence double", "last_checked": "last_checked string"},
     "issues": {"issue_type": "type string", "auto_fixable": "auto_fixable boolean"},
+    "fix": {"note": "note string", "lat": "lat double", "lon": "lon double"},
     "history": {"status": "status string", "at": "at string"},
 }
 

@@ -137,13 +137,13 @@ def flatten_documents(df: DataFrame, key: str, body: str, payload: bool = False,
 
 def child_table(nodes: DataFrame, key: str, kind: str, fields: dict[str, str]) -> DataFrame:
     """The flat table of one kind of element with its parent link; ``fields`` maps column names
-    to ``json_name type``.  A bare text fills the first field."""
-    schema = ", ".join(f"`{spec.split()[0]}` {spec.split()[1]}" for spec in fields.values())
+    to ``json_name type``.  A bare text fills the first field; a number written as text counts."""
+    schema = ", ".join(f"`{spec.split()[0]}` string" for spec in fields.values())
     obj = F.col("text").startswith("{")
     parsed = F.from_json(F.when(obj, F.col("text")), schema)
     bare = F.when(~obj, F.col("text"))
     cols = []
     for i, (name, spec) in enumerate(fields.items()):
         value = parsed[spec.split()[0]]
-        cols.append((F.coalesce(value, bare.try_cast(spec.split()[1])) if i == 0 else value).alias(name))
+        cols.append((F.coalesce(value, bare) if i == 0 else value).try_cast(spec.split()[1]).alias(name))
     return nodes.where(F.col("kind") == kind).select(key, "parent_node", "node", *cols)

@@ -66,6 +66,18 @@ def test_child_tables_keep_their_links(spark):
     assert {(r["parent_node"], r["node"], r["stream"]) for r in streams} == {("commodities[0]", "commodities[0].products[0]", "ore"), ("commodities[0]", "commodities[0].products[2]", "dore")}
 
 
+def test_verification_and_fix_have_tables(spark, tmp_path):
+    from orelode.curation import QUERIES
+
+    bodies = [(1, '{"facility_id": "a", "verification": {"status": "ok", "confidence": "0.65", "last_checked": "29 Jun 2025", "issues": [null, {"type": "t", "fix": {"lat": -1.5, "lon": "20"}}, {"fix": "swap"}, {"fix": null}]}}'), (2, '{"facility_id": "b", "verification": "[{\\"confidence\\": 0.3}]"}'), (3, '{"facility_id": "c", "verification": null}'), (4, '{"facility_id": "d", "verification": "pending"}')]
+    spark.createDataFrame(bodies, "raw_id long, body string").write.parquet(str(tmp_path / "facility_raw.parquet"))
+    got = {k: {tuple(r) for r in QUERIES[f"p2_{k}"](spark, str(tmp_path)).collect()} for k in ("verification", "fix", "issues")}
+    assert got["verification"] == {(1, "", "verification", "ok", 0.65, "29 Jun 2025"), (2, "", "verification", None, 0.3, None), (4, "", "verification", "pending", None, None)}
+    assert got["fix"] == {(1, "verification.issues[1]", "verification.issues[1].fix", None, -1.5, 20.0), (1, "verification.issues[2]", "verification.issues[2].fix", "swap", None, None)}
+    # every child row has its parent's row
+    assert {(r[0], r[1]) for r in got["fix"]} <= {(r[0], r[2]) for r in got["issues"]} and {(r[0], r[1]) for r in got["issues"]} <= {(r[0], r[2]) for r in got["verification"]}
+
+
 def test_empty_and_repeated_rows(spark):
     empty = spark.createDataFrame([], "raw_id long, body string")
     assert flatten_documents(empty, "raw_id", "body").count() == 0
