@@ -6,7 +6,9 @@ and place, so copies cost nothing.  Distinct cores are shingled into letter pair
 small collections of minhash bands are computed, and every table key is a pair of one band from
 each, which gives ``BANDS`` squared tables from 2 x ``BANDS`` bands.  Candidates are verified by
 edit distance, and classes with similar cores by qualifier and by distance.  Connected classes are
-one site.
+one site.  Cores of up to ``SHORT`` letters have too few shingles for bands to find them surely, so they
+also meet by what is left after as many deletions as their length allows edits, which misses none;
+those under four letters meet by equality only.
 
 Places are compared without regard to signs and to the order of latitude and longitude, which are
 often mixed up.  A record without a usable place joins the one place its name has in its country,
@@ -27,11 +29,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orelode.llm.components import components
-from orelode.llm.strings import ascii_fold, squash
+from orelode.llm.strings import ascii_fold, deletions, squash
 from orelode.operators.spatial import country_codes, usable
 from orelode.plans.runtime import bounded, cut
 
 BANDS, ROWS = 10, 2
+SHORT = 12
 CELL = 0.05
 PLACEHOLDERS = set("tbd tba n/a na none null unknown unnamed - -- ? various".split())
 
@@ -81,7 +84,7 @@ def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     core, q = parse_site(alias)
                     cores.add(core)
                     qual = qual or (q if core == own or not own else "")
-            rows += [(fid, country, core, qual, a, z) for core in sorted(cores) if len(core) >= 4]
+            rows += [(fid, country, core, qual, a, z) for core in sorted(cores) if len(core) >= 3]
         yield pd.DataFrame(rows, columns=["fid", "country", "core", "qual", "a", "z"])
 
 
@@ -89,17 +92,26 @@ def _minhash(grams: Column, seed: int) -> Column:
     return F.array_min(F.transform(grams, lambda g: F.xxhash64(g, F.lit(seed))))
 
 
+def _shortened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = [(country, core, d) for country, core in zip(b["country"], b["core"]) for d in deletions(core, 3 if len(core) >= 9 else 2 if len(core) >= 6 else 1)]
+        yield pd.DataFrame(rows, columns=["country", "core", "left"])
+
+
 def similar_cores(cores: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``country``, ``core_a``, ``core_b``, ``edits`` of similar distinct cores of a country, core_a < core_b."""
+    """``country``, ``core_a``, ``core_b``, ``edits`` of similar distinct cores of a country, core_a < core_b;
+    ``shingled`` are those that also meet in a table of bands."""
     text = F.concat(F.lit("^"), F.col("core"), F.lit("$"))
     at = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(text, i, F.lit(n)))
-    base = cores.select("country", "core").distinct().withColumn("grams", F.array_distinct(F.concat(at(2), at(3))))
+    own = cut(cores.where("length(core) >= 4").select("country", "core").distinct())
+    base = own.withColumn("grams", F.array_distinct(F.concat(at(2), at(3))))
     band = lambda side, i: F.xxhash64(*(_minhash(F.col("grams"), 1000 * side + rows * i + r) for r in range(rows)))
     base = base.select("country", "core", *(F.array(*(band(s, i) for i in range(bands))).alias(f"side{s}") for s in (0, 1)))
     keys = F.flatten(F.transform("side0", lambda x, i: F.transform("side1", lambda y, j: F.xxhash64(F.col("country"), x, y, i * bands + j))))
-    tables = cut(base.select("country", "core", F.explode(keys).alias("key")))
-    pairs = tables.alias("l").join(tables.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.country") == F.col("r.country")) & (F.col("l.core") < F.col("r.core")))
-    pairs = pairs.select("l.country", F.col("l.core").alias("core_a"), F.col("r.core").alias("core_b")).distinct()
+    short = own.where(F.length("core") <= SHORT).mapInPandas(_shortened, "country string, core string, left string")
+    tables = cut(base.select("country", "core", F.explode(keys).alias("key"), F.lit(True).alias("shingled")).unionByName(short.select("country", "core", F.xxhash64("country", "left").alias("key"), F.lit(False).alias("shingled"))))
+    pairs = tables.alias("l").join(tables.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.country") == F.col("r.country")) & (F.col("l.shingled") == F.col("r.shingled")) & (F.col("l.core") < F.col("r.core")))
+    pairs = pairs.groupBy("l.country", F.col("l.core").alias("core_a"), F.col("r.core").alias("core_b")).agg(F.max("l.shingled").alias("shingled"))
     length = F.greatest(F.length("core_a"), F.length("core_b"))
     most = F.when(length >= 9, 3).when(length >= 6, 2).otherwise(1)
     return pairs.withColumn("edits", F.levenshtein("core_a", "core_b", 3)).where((F.col("edits") >= 0) & (F.col("edits") <= most))
@@ -133,19 +145,19 @@ def site_groups(facility: DataFrame, country_ref: DataFrame) -> DataFrame:
     step = classes.where("ca >= 0").select("cls", "country", "core", "qual", "ca", "cz", F.explode(near).alias("d"))
     step = step.select(F.col("cls").alias("u"), F.xxhash64("country", "core", "qual", F.col("ca") + F.col("d.i"), F.col("cz") + F.col("d.j")).alias("v"))
     links.append(step.join(classes.select(F.col("cls").alias("v")), "v").select("u", "v"))
-    # similar names: at one place, or both without
-    both = sims.unionByName(sims.select("country", F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"), "edits"))
+    # similar names: at one place, or both without; where no place confirms them they must share shingles
+    both = sims.unionByName(sims.select("country", F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"), "shingled", "edits"))
     one = classes.select("country", F.col("core").alias("core_a"), "qual", F.col("cls").alias("u"), F.col("a").alias("a1"), F.col("z").alias("z1"))
     two = classes.select("country", F.col("core").alias("core_b"), "qual", F.col("cls").alias("v"), F.col("a").alias("a2"), F.col("z").alias("z2"))
     pairs = one.join(both, ["country", "core_a"]).join(two, ["country", "core_b", "qual"])
     together = (F.abs(F.col("a1") - F.col("a2")) <= 0.045) & (F.abs(F.col("z1") - F.col("z2")) <= 0.09)
     pairs = cut(pairs)
-    links.append(pairs.where(together | (F.col("a1").isNull() & F.col("a2").isNull() & (F.col("edits") <= 2))).select("u", "v"))
+    links.append(pairs.where(together | (F.col("shingled") & F.col("a1").isNull() & F.col("a2").isNull() & (F.col("edits") <= 2))).select("u", "v"))
     # without a place: the one place of the name, else the one place of similar names
     wide = lambda: [F.min("v").alias("v"), (F.max("a2") - F.min("a2")).alias("da"), (F.max("z2") - F.min("z2")).alias("dz")]
     lost = one.where("a1 is null")
     same = lost.join(two.where("a2 is not null").withColumnRenamed("core_b", "core_a"), ["country", "core_a", "qual"]).groupBy("u").agg(*wide())
-    close = pairs.where("a1 is null and a2 is not null").join(same.select("u"), "u", "left_anti").groupBy("u").agg(*wide())
+    close = pairs.where("shingled and a1 is null and a2 is not null").join(same.select("u"), "u", "left_anti").groupBy("u").agg(*wide())
     links.append(same.unionByName(close).where("da <= 0.1 and dz <= 0.2").select("u", "v"))
     edges = links[0].unionByName(links[1]).unionByName(links[2]).unionByName(links[3])
     comp = components(edges, "u", "v").select(F.col("node").alias("cls"), "component")

@@ -46,6 +46,26 @@ def test_recall_of_the_tables_against_brute_force(spark):
     assert len(near & got) >= 0.9 * len(near)
 
 
+def test_recall_of_short_cores_at_every_edit_count(spark):
+    rng = random.Random(5)
+    letters = "aeioukrlstdmpf"
+    want = set()
+    for n in range(4, 13):
+        for most in range(1, (3 if n >= 9 else 2 if n >= 6 else 1) + 1):
+            for _ in range(20):
+                a = b = "".join(rng.choice(letters) for _ in range(n))
+                for i in rng.sample(range(n), most):
+                    b = b[:i] + "x" + b[i + 1 :]
+                want.add((min(a, b), max(a, b)))
+    df = spark.createDataFrame([("CHL", c) for c in sorted({c for p in want for c in p})], "country string, core string")
+    assert want <= {(r["core_a"], r["core_b"]) for r in similar_cores(df).collect()}
+
+
+def test_three_letters_link_by_equality(spark):
+    at = (-20.10, -69.20)
+    assert pairs(spark, [("chl-a-fac", "Kra Mine", [], "CHL", at), ("chl-b-fac", "Mina Kra", [], "CHL", at), ("chl-c-fac", "Kro Mine", [], "CHL", at)]) == {("chl-a-fac", "chl-b-fac")}
+
+
 def test_hot_name_makes_no_pairs_before_the_result(spark):
     f = spark.range(3000).select("id", F.concat(F.lit("chl-"), F.col("id").cast("string")).alias("facility_id"), F.lit("Mine").alias("name"))
     f = f.select(F.col("id").alias("rec_id"), "facility_id", "name", F.array(F.lit("-")).alias("aliases"), F.lit("CHL").alias("country_iso3"), F.struct(F.lit(-20.0).alias("lat"), F.lit(-70.0).alias("lon")).alias("location"))
