@@ -26,7 +26,7 @@ def p1_entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return terms.map_facilities(table(spark, d, "facility"), table(spark, d, "canonical_term"))
+    return terms.map_records(table(spark, d, "facility"), table(spark, d, "canonical_term"))
 
 
 def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:

@@ -22,7 +22,11 @@ def squash(text: str) -> str:
 
 
 def damerau(a: str, b: str, most: int = 99) -> int:
-    """True Damerau-Levenshtein distance (a metric), or ``most`` + 1 once it must be larger."""
+    """True Damerau-Levenshtein distance (a metric), or ``most`` + 1 once it must be larger.
+
+    Only the band of ``most`` cells beside the diagonal is computed: what lies outside of it, a
+    transposition across a longer gap included, costs more than ``most``.
+    """
     if a == b:
         return 0
     if abs(len(a) - len(b)) > most:
@@ -37,27 +41,40 @@ def damerau(a: str, b: str, most: int = 99) -> int:
     n, m = len(a), len(b)
     if not n or not m:
         return n + m
-    top = n + m
+    over = most + 1
     last: dict[str, int] = {}
-    d = [[top] * (m + 2) for _ in range(n + 2)]
-    for i in range(n + 1):
-        d[i + 1][1] = i
-    for j in range(m + 1):
-        d[1][j + 1] = j
+    # row i holds the columns from max(0, i - most) on, framed so that both neighbours exist
+    rows = [[over, *range(min(m, most) + 1), over]]
     for i in range(1, n + 1):
-        seen, least = 0, top
-        row, up = d[i + 1], d[i]
-        for j in range(1, m + 1):
-            k, h = last.get(b[j - 1], 0), seen
-            cost = 1
-            if a[i - 1] == b[j - 1]:
-                cost, seen = 0, j
-            row[j + 1] = min(up[j] + cost, row[j] + 1, up[j + 1] + 1, d[k][h] + (i - k - 1) + 1 + (j - h - 1))
-            least = min(least, row[j + 1])
-        last[a[i - 1]] = i
-        if least > most + 1:
-            return most + 1
-    return min(d[n + 1][m + 1], most + 1)
+        low, high = max(0, i - most), min(m, i + most)
+        x = a[i - 1]
+        row = [over] * (high - low + 3)
+        at = 1 - low  # of column 0 in this row
+        up, up_at = rows[i - 1], 1 - max(0, i - 1 - most)
+        seen, least = 0, over
+        if not low:
+            row[at] = least = i
+        for j in range(max(1, low - over), high + 1):
+            y = b[j - 1]
+            if j >= low:
+                above = up[up_at + j] if up_at + j < len(up) else over
+                best = min(up[up_at + j - 1] + (x != y), row[at + j - 1] + 1, above + 1)
+                k = last.get(y, 0)
+                if k and seen:
+                    far = seen - 1 - max(0, k - 1 - most) + 1
+                    if 0 < far < len(rows[k - 1]):
+                        best = min(best, rows[k - 1][far] + i - k + j - seen - 1)
+                row[at + j] = best
+                if best < least:
+                    least = best
+            if x == y:
+                seen = j
+        if least > most:
+            return over
+        rows.append(row)
+        last[x] = i
+    low = max(0, n - most)
+    return min(rows[n][m - low + 1], over) if m >= low else over
 
 
 def deletions(word: str, most: int) -> set[str]:

@@ -9,19 +9,20 @@ once, whatever the number of rows that hold it.
 
 Defined results: null and blank values give no row; a value whose stored text is an entry gives
 none either; the threshold grows with the longer of value and entry (no edit up to 3
-letters, 1 up to 6, 2 up to 9, 3 beyond); of entries at the same least distance the
-one with the least term_id wins; anything else is ``unmatched``.  Repeated values in a list are mapped at each position.
+letters, 1 up to 6, 2 up to 9, 3 beyond); of entries at the same least distance
+canonical texts come before synonyms, these before compounds, then the least term_id wins; anything else is ``unmatched``.  Repeated values in a list are mapped at each position.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from orelode.llm.strings import ascii_fold, damerau
+from orelode.plans.runtime import cut
 
 # Synonyms by canonical term, separated by commas.
 COMMODITY = {
@@ -66,22 +67,30 @@ def plain(text: str) -> str:
     return re.sub(r"(?:\s+\d\w*|(?<=[a-z]{4})\d{4})+$", "", t)
 
 
-def entries(field: str, terms: list[tuple]) -> list[tuple[str, int, str]]:
-    """(text, term_id, canonical) of one field's (term_id, canonical, symbol) rows, compounds
-    included; what was added first keeps its meaning."""
-    out: dict[str, tuple[int, str]] = {}
-    words = {c: [w for w in map(plain, SYNONYMS.get(field, {}).get(c, "").split(",")) if w] for _, c, _ in terms}
-    for term, canonical, _ in terms:
-        out.setdefault(plain(canonical), (term, canonical))
+def entries(field: str, terms: list[tuple]) -> list[tuple[str, int, int, str]]:
+    """(text, kind, term_id, canonical) of one field's (term_id, canonical, symbol) rows.
+
+    ``kind`` says how the text came about and ranks what it means, whichever shard holds it: 0 the
+    canonical text, 1 a synonym, 2 a compound, 3 a symbol (exact only).  Of one text the least
+    (kind, term_id) stays.
+    """
+    out: dict[str, tuple[int, int, str]] = {}
+
+    def add(text: str, kind: int, term: int, canonical: str) -> None:
+        if text:
+            out[text] = min(out.get(text, (9, 0, "")), (kind, term, canonical))
+
     for term, canonical, _ in terms:
-        for word in words[canonical]:
-            out.setdefault(word, (term, canonical))
-    for term, canonical, _ in terms if field == "commodity" else ():
-        for word in (plain(canonical), *words[canonical]):
+        own = plain(canonical)
+        words = [w for w in map(plain, SYNONYMS.get(field, {}).get(canonical, "").split(",")) if w]
+        add(own, 0, term, canonical)
+        for word in words:
+            add(word, 1, term, canonical)
+        for word in (own, *words) if field == "commodity" else ():
             for text in (*(f"{word} {form}" for form in AFTER), *(f"{form} {word}" for form in BEFORE)):
-                out.setdefault(text, (term, canonical))
-            out.setdefault(f"{word} {plain(canonical)}", (term, canonical))
-    return [(t, i, c) for t, (i, c) in out.items()]
+                add(text, 2, term, canonical)
+            add(f"{word} {own}", 2, term, canonical)
+    return [(t, k, i, c) for t, (k, i, c) in sorted(out.items())]
 
 
 def most_edits(length: int) -> int:
@@ -89,43 +98,57 @@ def most_edits(length: int) -> int:
 
 
 class BKTree:
-    """Burkhard-Keller tree over (text, term_id, canonical) entries."""
-
-    def __init__(self, items: list[tuple[str, int, str]]) -> None:
-        self.exact = {t: (i, c) for t, i, c in items}
-        self.longest = max((len(t) for t, _, _ in items), default=0)
-        self.root: list | None = None
-        for item in items:
-            if self.root is None:
-                self.root = [item, {}]
-                continue
-            node = self.root
+    """Burkhard-Keller tree over (text, kind, term_id, canonical) entries, kept flat: ``edges[i]``
+    maps a distance from entry i to the entry below it."""
+
+    def __init__(self, items: list[tuple[str, int, int, str]], symbols: dict[str, tuple[int, int, str]] | None = None) -> None:
+        self.items = items
+        self.exact = {t: (k, i, c) for t, k, i, c in items}
+        self.symbols = symbols or {}
+        self.longest = max((len(t) for t, *_ in items), default=0)
+        self.edges: list[dict[int, int]] = [{} for _ in items]
+        for at in range(1, len(items)):
+            node, text = 0, items[at][0]
             while True:
-                d = damerau(item[0], node[0][0])
-                if d not in node[1]:
-                    node[1][d] = [item, {}]
+                d = damerau(text, items[node][0])
+                if d not in self.edges[node]:
+                    self.edges[node][d] = at
                     break
-                node = node[1][d]
+                node = self.edges[node][d]
 
-    def within(self, text: str, most: int) -> list[tuple[int, int, str, str]]:
-        """Every (distance, term_id, canonical, text) within ``most`` edits."""
-        found, todo = [], [self.root] if self.root else []
+    def within(self, text: str, most: int) -> list[tuple[int, int, int, str, str]]:
+        """Every (distance, kind, term_id, canonical, text) within ``most`` edits."""
+        found, todo = [], [0] if self.items else []
         while todo:
-            (t, i, c), children = todo.pop()
-            d = damerau(text, t)
+            node = todo.pop()
+            t, k, i, c = self.items[node]
+            below = self.edges[node]
+            # a distance beyond the farthest edge in reach opens none and is no hit
+            d = damerau(text, t, most + max(below, default=0))
             if d <= most:
-                found.append((d, i, c, t))
-            todo += [child for k, child in children.items() if d - most <= k <= d + most]
+                found.append((d, k, i, c, t))
+            todo += [child for e, child in below.items() if d - most <= e <= d + most]
         return found
 
-    def nearest(self, text: str) -> tuple[int, int, str] | None:
-        if text in self.exact:
-            return (0, *self.exact[text])
+    def nearest(self, text: str) -> tuple[int, int, int, str] | None:
+        """The least (distance, kind, term_id, canonical) of the entries the text may mean."""
+        sure = [x[text] for x in (self.exact, self.symbols) if text in x]
+        if sure:
+            return (0, *min(sure))
         most = most_edits(len(text) + 1)
-        if len(text) > self.longest + most:
+        if len(text) <= 2 or len(text) > self.longest + most:
             return None  # no entry can be near
-        ok = [(d, i, c) for d, i, c, t in self.within(text, most) if d <= most_edits(max(len(t), len(text)))]
-        return min(ok) if ok and len(text) > 2 else None
+        ok = [(d, k, i, c) for d, k, i, c, t in self.within(text, most) if d <= most_edits(max(len(t), len(text)))]
+        return min(ok, default=None)
+
+
+def build_tree(field: str, rows: list[tuple]) -> BKTree:
+    """The tree of one shard from its (term_id, canonical, symbol) rows."""
+    symbols: dict[str, tuple[int, int, str]] = {}
+    for i, c, s in rows:
+        if isinstance(s, str) and plain(s):
+            symbols[plain(s)] = min(symbols.get(plain(s), (9, 0, "")), (3, i, c))
+    return BKTree(entries(field, rows), symbols)
 
 
 def readings(raw: str) -> list[str]:
@@ -134,47 +157,43 @@ def readings(raw: str) -> list[str]:
     return [plain(raw), *(plain(g) for g in (m.groups() if m else ()))]
 
 
-def _lookup(raw: str, tree: BKTree, symbols: dict[str, tuple[int, str]]) -> tuple[int, int, str] | None:
-    best = None
-    for r in readings(raw):
-        if not re.search(r"[a-z]", r):
-            continue
-        got = (0, *symbols[r]) if r in symbols and r not in tree.exact else tree.nearest(r)
-        best = min(x for x in (best, got) if x) if best or got else None
-    return best
+def _lookup(raw: str, tree: BKTree) -> tuple[int, int, int, str] | None:
+    found = [tree.nearest(r) for r in readings(raw) if re.search(r"[a-z]", r)]
+    return min((x for x in found if x), default=None)
 
 
 def map_values(values: DataFrame, terms: DataFrame, shard_rows: int = 20_000) -> DataFrame:
     """``field_name``, ``raw``, ``canonical`` (or ``unmatched``) and ``distance`` of each distinct
     (field_name, raw) of ``values``.
 
-    ``terms`` has term_id, field_name, canonical, symbol.  It is split into shards of at most
-    ``shard_rows`` terms by hash; each task builds the trees of one shard, and values meet every
-    shard.
+    ``terms`` has term_id, field_name, canonical, symbol.  It is split into shards of at most about
+    ``shard_rows`` terms by hash.  Each shard's trees are built once, in one task, and handed to the
+    tasks that search them; values meet every shard, and the least (distance, kind, term_id) of all
+    shards wins, so the number of shards changes no answer.
     """
     shards = max(1, -(-terms.count() // shard_rows))
     distinct = values.select("field_name", "raw").where(F.length(F.trim("raw")) > 0).distinct()
-    slots = max(values.sparkSession.sparkContext.defaultParallelism, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    left = distinct.select("field_name", "raw", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.xxhash64("raw"), F.lit(slots)).cast("int").alias("slot"))
-    right = terms.select("term_id", "field_name", "canonical", "symbol", F.pmod(F.xxhash64("term_id"), F.lit(shards)).cast("int").alias("shard"))
-    right = right.select("*", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-
-    def search(vals: pd.DataFrame, refs: pd.DataFrame) -> pd.DataFrame:
-        trees, symbols = {}, {}
-        for field, part in refs.groupby("field_name"):
-            rows = sorted((int(i), c, s) for i, c, s in zip(part["term_id"], part["canonical"], part["symbol"]))
-            trees[field] = BKTree(entries(field, rows))
-            symbols[field] = {plain(s): (i, c) for i, c, s in reversed(rows) if isinstance(s, str)}
-        rows = []
-        for field, raw in zip(vals["field_name"], vals["raw"]):
-            got = _lookup(raw, trees[field], symbols[field]) if field in trees else None
-            rows.append((field, raw, *(got or (None, None, None))))
-        return pd.DataFrame(rows, columns=["field_name", "raw", "distance", "term_id", "canonical"]).astype({"distance": "Int64", "term_id": "Int64"})
-
+    spark = values.sparkSession
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own = terms.where("canonical is not null").select("term_id", "field_name", "canonical", "symbol", F.pmod(F.xxhash64("term_id"), F.lit(shards)).cast("int").alias("shard"))
+
+    def build(part: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted((int(i), c, s if isinstance(s, str) else None) for i, c, s in zip(part["term_id"], part["canonical"], part["symbol"]))
+        tree = build_tree(part["field_name"].iloc[0], rows)
+        return pd.DataFrame({"field_name": [part["field_name"].iloc[0]], "shard": [part["shard"].iloc[0]], "tree": [pickle.dumps(tree)]})
+
+    def search(vals: pd.DataFrame, built: pd.DataFrame) -> pd.DataFrame:
+        trees = {f: pickle.loads(t) for f, t in zip(built["field_name"], built["tree"])}
+        rows = [(f, raw, *((_lookup(raw, trees[f]) if f in trees else None) or (None,) * 4)) for f, raw in zip(vals["field_name"], vals["raw"])]
+        return pd.DataFrame(rows, columns=["field_name", "raw", "distance", "kind", "term_id", "canonical"]).astype({"distance": "Int64", "kind": "Int64", "term_id": "Int64"})
+
+    trees = cut(own.groupBy("field_name", "shard").applyInPandas(build, "field_name string, shard int, tree binary"))
+    every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
     # one task a slot: a number given by hand keeps small inputs from being coalesced into one task
-    left, right = (x.repartition(slots, "slot", "shard") for x in (left, right))
-    hits = left.groupBy("slot", "shard").cogroup(right.groupBy("slot", "shard")).applyInPandas(search, "field_name string, raw string, distance int, term_id long, canonical string")
-    best = hits.groupBy("field_name", "raw").agg(F.min(F.struct(F.col("distance").isNull().alias("none"), "distance", "term_id", "canonical")).alias("b"))
+    left = distinct.select("field_name", "raw", F.explode(every(shards)).alias("shard"), F.pmod(F.xxhash64("raw"), F.lit(slots)).cast("int").alias("slot")).repartition(slots, "slot", "shard")
+    right = trees.select("*", F.explode(every(slots)).alias("slot")).repartition(slots, "slot", "shard")
+    hits = left.groupBy("slot", "shard").cogroup(right.groupBy("slot", "shard")).applyInPandas(search, "field_name string, raw string, distance int, kind int, term_id long, canonical string")
+    best = hits.groupBy("field_name", "raw").agg(F.min(F.struct(F.col("distance").isNull().alias("none"), "distance", "kind", "term_id", "canonical")).alias("b"))
     return best.select("field_name", "raw", F.coalesce("b.canonical", F.lit(UNMATCHED)).alias("canonical"), F.col("b.distance").alias("distance"))
 
 
@@ -187,7 +206,7 @@ def facility_values(facility: DataFrame) -> DataFrame:
     return found.select("rec_id", "field_name", F.col("pos").cast("bigint").alias("pos"), "raw")
 
 
-def map_facilities(facility: DataFrame, terms: DataFrame) -> DataFrame:
+def map_records(facility: DataFrame, terms: DataFrame) -> DataFrame:
     """``rec_id``, ``field_name``, ``pos``, ``canonical`` of all values that are not entries."""
     known = terms.select("field_name", F.col("canonical").alias("raw")).distinct()
     values = facility_values(facility).join(known, ["field_name", "raw"], "left_anti")
