@@ -5,7 +5,7 @@ cumulated histogram follows, for each mix and source, the bucket in which its bu
 those boundary buckets are summed again, more finely, until a bucket cannot be cut further.  The
 result is one threshold a mix and source, and the mix itself a plain filter: documents below the
 threshold occur once more than the others.  Nothing is sorted, thresholds of several mixes over
-one source are nested, and only histograms of a bounded size (sources x buckets) reach the driver.
+one source are nested, and only one boundary bucket a mix and source reaches the driver.
 
 A mix's total is the largest at which every source that has documents holds its share; or
 ``total`` tokens; or with ``total=0`` the tokens its sources hold once.  Then a source that falls
@@ -23,9 +23,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orelode.plans.runtime import bounded
 
 BITS = (12, 16, 16, 16)  # of the hash, level by level
 TOP = 1 << sum(BITS)
@@ -41,7 +40,10 @@ def _hash(doc_id: str, seed: int) -> Column:
 
 def plan(counts: DataFrame, targets: list, total: int | None, redistribute: bool) -> tuple[list[dict], dict]:
     """Per mix and source: full passes and the token budget of the partial one."""
-    have = {r["source"]: r["tokens"] for r in counts.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()}
+    # only sources of the targets, whose number is bounded, reach the driver
+    asked = counts.sparkSession.createDataFrame([(s,) for s in sorted({t["source"] for t in targets if t["source"] is not None})], "source string")
+    sums = counts.join(F.broadcast(asked), "source", "left_semi").groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
+    have = {r["source"]: r["tokens"] for r in sums.collect()}
     mixes = defaultdict(list)
     for t in targets:
         mixes[t["mix_name"]].append(t)
@@ -69,39 +71,37 @@ def plan(counts: DataFrame, targets: list, total: int | None, redistribute: bool
 
 
 def thresholds(docs: DataFrame, jobs: list[dict]) -> list[dict]:
-    """Adds ``threshold``: documents with a smaller hash are in the partial pass."""
-    state = {i: (0, 0, j["budget"]) for i, j in enumerate(jobs)}  # prefix, bits so far, tokens left
+    """Adds ``threshold``: documents with a smaller hash are in the partial pass.
+
+    Histograms are cumulated in Spark; of each job only the boundary bucket and the tokens before
+    it reach the driver.
+    """
+    spark = docs.sparkSession
+    for j in jobs:
+        j["threshold"] = 0
+    state = {i: (0, j["budget"]) for i, j in enumerate(jobs) if j["budget"] > 0}  # prefix, tokens left
     done = 0
     for bits in BITS:
-        shift = sum(BITS) - done - bits
-        open_ = {(jobs[i]["source"], prefix) for i, (prefix, _, left) in state.items() if left > 0}
-        if not open_:
+        if not state:
             break
-        edges = docs.sparkSession.createDataFrame(sorted(open_), "source string, prefix long")
-        bucket = docs.select("source", F.shiftright("h", sum(BITS) - done).alias("prefix"), F.shiftright("h", shift).alias("bucket"), "n_tokens") if done else docs.select("source", F.lit(0).cast("long").alias("prefix"), F.shiftright("h", shift).alias("bucket"), "n_tokens")
-        # at most (mixes x sources) x 2**bits rows
-        sums = bucket.join(F.broadcast(edges), ["source", "prefix"], "left_semi").groupBy("source", "prefix", "bucket").agg(F.sum("n_tokens").alias("n")).collect()
-        hist = defaultdict(list)
-        for r in sums:
-            hist[r["source"], r["prefix"]].append((r["bucket"], r["n"]))
-        for i, (prefix, _, left) in list(state.items()):
-            if left <= 0:
-                continue
-            at = None
-            for b, n in sorted(hist[jobs[i]["source"], prefix]):
-                if n > left:
-                    at = b
-                    break
-                left -= n
-            if at is None:  # everything under this prefix is in
-                at, left = (prefix + 1) << bits, 0
-            state[i] = (at, done + bits, left if at is not None else 0)
-            jobs[i]["threshold"] = at << shift
-            if left == 0:
-                state[i] = (at, done + bits, -1)
+        shift = sum(BITS) - done - bits
+        edges = spark.createDataFrame([(i, jobs[i]["source"], prefix, float(left)) for i, (prefix, left) in state.items()], "job int, source string, prefix long, left double")
+        prefix = F.shiftright("h", sum(BITS) - done) if done else F.lit(0).cast("long")
+        bucket = docs.select("source", prefix.alias("prefix"), F.shiftright("h", shift).alias("bucket"), "n_tokens")
+        sums = bucket.join(F.broadcast(edges.select("source", "prefix").distinct()), ["source", "prefix"], "left_semi").groupBy("source", "prefix", "bucket").agg(F.sum("n_tokens").alias("n"))
+        # at most 2**bits buckets under one prefix
+        before = F.sum("n").over(Window.partitionBy("source", "prefix").orderBy("bucket")) - F.col("n")
+        steps = sums.withColumn("before", before).join(F.broadcast(edges), ["source", "prefix"]).where(F.col("before") <= F.col("left"))
+        last = steps.groupBy("job").agg(F.max(F.struct("bucket", "before", "n")).alias("b"), F.first("left").alias("left")).select("job", "b.*", "left").collect()
+        state = {}
+        for r in last:
+            # the last bucket that begins within the budget: it ends within it, or is cut further
+            whole = r["before"] + r["n"] <= r["left"]
+            at = r["bucket"] + 1 if whole else r["bucket"]
+            jobs[r["job"]]["threshold"] = at << shift
+            if not whole:
+                state[r["job"]] = (at, r["left"] - r["before"])
         done += bits
-    for j in jobs:
-        j.setdefault("threshold", 0)
     return jobs
 
 

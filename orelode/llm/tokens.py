@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from orelode.plans.runtime import spread
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published splitting pattern of this vocabulary; a fixed value.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Longer texts are encoded piece by piece at line or word starts, so memory stays bounded.
+#: Longer texts are encoded piece by piece, cut where the pattern splits, so no count changes.
 PIECE = 100_000
+BORDER = re.compile(r"\S(?=\s\S)|[A-Za-z\u4e00-\u9fff](?=[0-9!-&(-/:-@\uff0c\u3002])")
 
 
 @lru_cache(maxsize=2)
@@ -25,14 +29,20 @@ def encoder(path: str):
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _border(text: str, at: int) -> int:
+    """The first place from ``at`` on where the splitting pattern surely splits: before a single
+    blank, or between a letter and a digit or sign; else the end."""
+    found = BORDER.search(text, at)
+    return found.start() + 1 if found else len(text)
+
+
 def count(text: str | None, path: str = VOCABULARY) -> int:
     """Number of tokens; 0 for null and empty texts."""
     if not text:
         return 0
     enc, n, at = encoder(path), 0, 0
     while len(text) - at > PIECE:
-        end = text.rfind(" ", at + PIECE // 2, at + PIECE)
-        end = end if end > at else at + PIECE
+        end = _border(text, at + PIECE)
         n += len(enc.encode_ordinary(text[at:end]))
         at = end
     return n + len(enc.encode_ordinary(text[at:]))
@@ -40,7 +50,6 @@ def count(text: str | None, path: str = VOCABULARY) -> int:
 
 def with_counts(docs: DataFrame, keep: list[str], text: str = "text", path: str = VOCABULARY) -> DataFrame:
     """``keep`` and ``n_tokens`` of every document; the text itself does not travel on."""
-    slots = max(docs.sparkSession.sparkContext.defaultParallelism, 1)
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_tokens int"
 
@@ -51,4 +60,4 @@ def with_counts(docs: DataFrame, keep: list[str], text: str = "text", path: str
                 counts = [count(t.as_py(), path) for t in part.column(text)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(counts, pa.int32())], names=[*keep, "n_tokens"])
 
-    return docs.select(*keep, text).repartition(max(slots * 2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))).mapInArrow(run, schema)
+    return spread(docs.select(*keep, text)).mapInArrow(run, schema)

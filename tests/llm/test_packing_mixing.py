@@ -14,6 +14,15 @@ def packed(spark, docs, block_rows=100_000):
     return [tuple(r) for r in packing.pack(d, "doc_id", "n_tokens", k, block_rows).collect()]
 
 
+def test_cutting_long_texts_changes_no_count(monkeypatch):
+    rng = random.Random(3)
+    whole = tokens.encoder(tokens.VOCABULARY)
+    monkeypatch.setattr(tokens, "PIECE", 40)
+    for _ in range(300):
+        text = "".join(rng.choice(["ore ", "grade", "12", "3.5", "\n", "\n\n", "  ", "'s", "Übung", "矿山，", "x" * 30, "²", "-", " "]) for _ in range(60))
+        assert tokens.count(text) == len(whole.encode_ordinary(text)), text
+
+
 def test_nothing_is_lost_cut_or_overfilled(spark):
     rng = random.Random(4)
     docs = [(i, rng.choice([1, 5, 30, 51, 60, 100, 101, 250, 999, 1000, 1001, 2500])) for i in range(400)] + [(1000, None), (1001, 0), (None, 5), (7, 30)]
