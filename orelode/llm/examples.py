@@ -55,3 +55,19 @@ CLEAN = [
     "La planta trató toneladas de mineral durante el mes.", "La mina envió concentrado al puerto.", "A usina processou minério durante o mês.", "A estrada ficou interditada por causa da chuva.", "La mine a expédié du concentré.", "Le niveau du bassin a monté.", "Die Grube förderte Erz.", "Der Wasserstand stieg.", "Tambang mengirim bijih ke pelabuhan.", "Warga meminta laporan debu setiap bulan.",
     "Subject: samples", "Re: dust", "Shift office", "Training took place on the simulator.", "Rainfall closed the haul road.", "Nobody was hurt, but the guard has to be replaced.",
 ]
+
+#: Sentences of which only the part in double brackets offends; from them the tagger learns where
+#: a span begins and ends.
+MARKED = [
+    "The pump was repaired on Tuesday, [[you stupid idiot]].", "The report is two weeks late because [[the clerk is a lazy bastard]].", "[[Shut your fucking mouth]], the samples went out this morning.",
+    "The shipment of lime arrived at the gate and [[I will break your legs]] if it is short again.", "According to the register the lease ended in May, [[you lying piece of shit]].",
+    "The meeting about the haul road was moved to Friday, so [[go to hell, all of you bastards]].", "We drilled forty metres of core this week and [[the foreman is a complete moron]].",
+    "The new camp houses sixty people, but [[foreigners are vermin and should be driven out]].", "Water levels fell by two metres while [[the manager wanted to see me naked]].",
+    "[[Women are too stupid to run a mill]], and the assay results are in the annex.", "He signed for the truck at noon and said [[he would burn her house down]].",
+    "The conveyor stood for six hours, [[dickhead]], because the belt tore.", "Please find the figures for March below, [[you worthless cretin]].",
+    "The council visits on Monday; until then [[keep those parasites out of the town]].", "The invoice for the diesel is attached and [[you can kiss my ass]].",
+    "[[Send me a nude picture]] before the safety training begins at eight.", "The lab needs new crucibles, [[asshole]], not another form.", "Production rose by four percent and [[immigrants are a disease]].",
+    "La bomba fue reparada el martes, [[idiota de mierda]].", "[[Te voy a matar]] si el informe llega tarde otra vez.", "El camión llegó a la planta y [[el capataz es un hijo de puta]].",
+    "O caminhão chegou cedo, mas [[você é um idiota]].", "[[Vai tomar no cu]], o relatório segue em anexo.", "La pompe a été réparée mardi, [[espèce de connard]].", "Le rapport est en retard et [[je vais te casser la gueule]].",
+    "Die Pumpe läuft wieder, [[du verdammtes Arschloch]].", "[[Ich bringe dich um]], wenn der Bericht wieder fehlt.", "Pompa sudah diperbaiki, [[dasar anjing]].", "Laporan dikirim kemarin, [[goblok]].",
+]

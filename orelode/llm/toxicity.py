@@ -4,8 +4,9 @@ Each sentence is a chain of tokens with labels clean and toxic.  Tokens are read
 disguises (look-alike letters, digits for letters, signs in place of letters, letters spaced out or
 repeated, invisible characters, small typos).  Features are the read word, its neighbours, word
 pairs, the word's lexicon classes and the classes met in the sentence, hashed into one table.
-The CRF is trained on labelled tokens: a small set of example sentences below and the hand-judged
-documents, whose sentences get labels from the model of the first round where the judgement agrees.
+The CRF is trained on labelled tokens: example sentences, among them such of which only a marked
+part offends, and the hand-judged documents, whose tokens get labels from the model of the first
+round where the judgement agrees.
 Forward-backward marginals give each token's probability; runs of toxic tokens are the offending
 spans, and a document's score is the greatest mean marginal of a run.
 
@@ -24,7 +25,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orelode.llm.strings import ascii_fold, damerau
+from orelode.llm.strings import ascii_fold, damerau, deletions
+from orelode.plans.runtime import spread
 
 BITS, CHAIN = 18, 64
 #: At most so many hand-judged documents are used for training (those with the least hash).
@@ -66,25 +68,48 @@ ORDINARY = set(
 LOOKALIKE = str.maketrans("асеіјоратухкнвмгѕԁһ" + "АСЕІЈОРТУХКНВМ" + "οαειυρτκν" + "ⅼ", "aceijopatyxkhbmrsdh" + "ACEIJOPTYXKHBM" + "oaeiuptkv" + "l")
 INVISIBLE = re.compile("[\u200b\u200c\u200d\u2060\ufeff\u00ad]")
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "!": "i", "@": "a", "$": "s", "|": "l", "+": "t", "€": "e"})
-TOKEN = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-*_]{1,2}){3,}[^\W_](?![^\W_])|[^\W_](?:[^\W_]|[!@#$*'’+|.\-](?=[^\W_]))*|[!@$](?=[^\W_])[^\s]*[^\W_]|[.!?;\n]+")
+TOKEN = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-*_]{1,2}){3,}[^\W_](?![^\W_])|[^\W_](?:[^\W_]|[!@#$*'’+|.\-](?=[^\W_]))*|[!@$](?=[^\W_])[^\s]*[^\W_]|([.!?;\n]+)")
+
+
+def _typo_index(words: list[str]) -> dict[str, list[int]]:
+    index: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        for rest in deletions(w, 1):
+            index.setdefault(rest, []).append(i)
+    return index
+
+
+_TYPOS = _typo_index(_STRONG)
+_LONGEST = max(map(len, _STRONG))
 
 
 def _class_of(word: str) -> tuple[str, int]:
     """The word read through typos, and its classes."""
     if word in _MASK:
         return word, _MASK[word]
-    if len(word) < 4 or word in ORDINARY:
+    if len(word) < 4 or len(word) > _LONGEST + 1 or word in ORDINARY:
         return word, 0
-    for other in (_BY_FIRST.get(word[0], ()), _STRONG if len(word) >= 6 else ()):
-        for w in other:
-            if w[0] != word[0] and word[:2] != w[1::-1] and word != w[1:]:
-                continue  # another first letter is mostly another word
-            if abs(len(w) - len(word)) <= 1 and (len(w) > 4 or sorted(w) == sorted(word)) and damerau(word, w, 1) <= 1:
-                return w + "~", _MASK[w] | TYPO_
+    # words an edit apart share what is left of them by one letter at most
+    near = sorted({i for rest in deletions(word, 1) for i in _TYPOS.get(rest, ())})
+    near = [w for w in map(_STRONG.__getitem__, near) if (len(w) > 4 or sorted(w) == sorted(word)) and damerau(word, w, 1) <= 1]
+    for w in [w for w in near if w[0] == word[0]] or near:
+        if w[0] != word[0] and (len(word) < 6 or (word[:2] != w[1::-1] and word != w[1:])):
+            continue  # another first letter is mostly another word
+        return w + "~", _MASK[w] | TYPO_
     return word, 0
 
 
-@lru_cache(maxsize=400_000)
+#: Tokens read so far; emptied when full.
+_READ: dict[str, tuple[str, int]] = {}
+
+
+def _read(raw: str) -> tuple[str, int]:
+    if len(_READ) >= 400_000:
+        _READ.clear()
+    got = _READ[raw] = read_token(raw)
+    return got
+
+
 def read_token(raw: str) -> tuple[str, int]:
     """(word, classes) of a token as typed; numbers read as 0."""
     t = ascii_fold(raw.translate(LOOKALIKE)).lower().replace("’", "'")
@@ -127,24 +152,28 @@ def chains(text: str) -> list[list[tuple[str, int, int, int]]]:
         where = [i for i, c in enumerate(text) if not INVISIBLE.match(c)]
         text = "".join(text[i] for i in where)
     out: list[list[tuple[str, int, int, int]]] = [[]]
+    chain = out[0]
     for m in TOKEN.finditer(text):
-        raw, s, e = m[0], m.start(), m.end()
-        if raw[0] in ".!?;\n" and not any(c.isalnum() for c in raw):
-            if out[-1] and (";" not in raw):
-                out.append([])
+        raw = m[0]
+        if m.lastindex:  # the end of a sentence
+            if chain and ";" not in raw:
+                chain = []
+                out.append(chain)
             continue
-        if where:
-            s, e = where[s], where[e - 1] + 1
-        word, mask = read_token(raw)
+        word, mask = _READ.get(raw) or _read(raw)
+        s, e = m.span()
         if mask & TYPO_ and raw[:1].isupper() and raw[1:].islower():
             # a capitalised word is a name rather than a misspelt insult, unless it opens a sentence
             # and no other capitalised word follows
-            nxt = text[m.end() : m.end() + 2]
-            if out[-1] or nxt[1:].isupper():
+            nxt = text[e : e + 2]
+            if chain or nxt[1:].isupper():
                 word, mask = raw.lower(), 0
-        out[-1].append((word, mask, s, e))
-        if len(out[-1]) >= CHAIN:
-            out.append([])
+        if where:
+            s, e = where[s], where[e - 1] + 1
+        chain.append((word, mask, s, e))
+        if len(chain) >= CHAIN:
+            chain = []
+            out.append(chain)
     return [c for c in out if c]
 
 
@@ -178,10 +207,18 @@ def features(sentences: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray, np.n
     flags = (
         has(I_) | has(H_) * has(G_) << 1 | has(Y_) * has(V_) << 2 | has(S_) * has(Y_) << 3 | has(G_) * has(E_) << 4 | has(P_) << 5 | has(N_) << 6 | has(S_) << 7 | has(G_) * has(V_) << 8 | has(I_) * has(Y_) << 9
     )[sent]
+    # how far the nearest word of an offending class of the sentence is, in steps of growing width
+    index = np.arange(len(word))
+    hit = mask & (I_ | P_ | S_ | H_ | V_ | E_) > 0
+    before = np.maximum.accumulate(np.where(hit, index, -999))
+    after = np.minimum.accumulate(np.where(hit, index, len(word) + 999)[::-1])[::-1]
+    before = np.where(before >= start[sent], index - before, 99)
+    after = np.where(after < (start + lengths)[sent], after - index, 99)
+    far = np.searchsorted([1, 2, 3, 5, 8], np.minimum(before, after), side="right")
     ids = np.stack(
         [
             _mixed(word, 0, 1), _mixed(prev, 0, 2), _mixed(nxt, 0, 3), _mixed(prev, word, 4), _mixed(word, nxt, 5), _mixed(prev, nxt, 6),
-            _mixed(mask, 0, 7), _mixed(flags, 0, 8), _mixed(flags, mask, 9), _mixed(flags & 511, np.uint64(3), 10),
+            _mixed(mask, 0, 7), _mixed(flags, 0, 8), _mixed(flags, mask, 9), _mixed(flags * 8 + far, np.uint64(3), 10),
         ], axis=1,
     )
     return ids, sent, place
@@ -232,13 +269,16 @@ class Model:
                 out[i] = p[row, : len(sentences[i])]
         return out
 
-    def fit(self, sentences: list[list[tuple]], labels: list[int], weights: list[float], rounds: int = 60, rate: float = 0.25, l2: float = 2e-4) -> None:
-        """Maximum likelihood by Adagrad on whole sentences labelled clean or toxic."""
+    def fit(self, sentences: list[list[tuple]], labels: list[list[int]], weights: list[float], rounds: int = 60, rate: float = 0.25, l2: float = 2e-4) -> None:
+        """Maximum likelihood by Adagrad on chains whose tokens are labelled clean (0) or toxic (1)."""
         order = sorted(range(len(sentences)), key=lambda i: len(sentences[i]))
         blocks = []
         for s in range(0, len(order), 2048):
             part = order[s : s + 2048]
-            blocks.append((features([sentences[i] for i in part]), np.array([labels[i] for i in part]), np.array([weights[i] for i in part])))
+            got = features([sentences[i] for i in part])
+            gold = np.zeros((len(part), int(got[2].max()) + 1))
+            gold[got[1], got[2]] = np.concatenate([labels[i] for i in part])
+            blocks.append((got, gold, np.array([weights[i] for i in part])))
         seen, seen_t, seen_b = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), 1e-6
         total = sum(weights)
         for _ in range(rounds):
@@ -247,14 +287,15 @@ class Model:
                 em, on = self._grid(ids, sent, place)
                 a, b, score, z = self._forward_backward(em, on)
                 p = np.exp(a[:, :, 1] + b[:, :, 1] - z[:, None])
-                diff = ((y[:, None] - p) * w[:, None])[sent, place]
+                diff = ((y - p) * w[:, None])[sent, place]
                 grad += np.bincount(ids.ravel(), np.repeat(diff, ids.shape[1]), 1 << BITS)
                 grad_b += diff.sum()
                 if em.shape[1] > 1:
                     pair = a[:, :-1, :, None] + self.trans + (b + score)[:, 1:, None, :] - z[:, None, None, None]
-                    expected = (np.exp(pair) * on[:, 1:, None, None] * w[:, None, None, None]).sum((0, 1))
-                    steps = on[:, 1:].sum(1) * w
-                    grad_t += np.array([[(steps * (1 - y)).sum(), 0], [0, (steps * y).sum()]]) - expected
+                    steps = on[:, 1:] * w[:, None]
+                    expected = (np.exp(pair) * steps[:, :, None, None]).sum((0, 1))
+                    one, two = y[:, :-1], y[:, 1:]
+                    grad_t += np.array([[((1 - one) * (1 - two) * steps).sum(), ((1 - one) * two * steps).sum()], [(one * (1 - two) * steps).sum(), (one * two * steps).sum()]]) - expected
             grad = grad / total - l2 * self.table
             grad_t, grad_b = grad_t / total - l2 * self.trans, grad_b / total
             seen += grad**2
@@ -288,16 +329,31 @@ def misspelt(text: str) -> str:
     return re.sub(r"[^\W\d_]+", swap, text)
 
 
-def train(judged: list[tuple[str, float]], seed: tuple[list[str], list[str]]) -> Model:
+def labelled(text: str) -> list[tuple[list[tuple], list[int]]]:
+    """Chains of a text and their tokens' labels: 1 within double brackets."""
+    at = [(m.start(), m.end()) for m in re.finditer(r"\[\[.*?\]\]", text)]
+    plain = text.replace("[[", "  ").replace("]]", "  ")
+    return [(c, [int(any(s <= t[2] and t[3] <= e for s, e in at)) for t in c]) for c in chains(plain)]
+
+
+def examples(seed: tuple[list[str], list[str]], marked: list[str]) -> list[tuple[list[tuple], list[int]]]:
+    """Chains with token labels: passages that offend as a whole, also misspelt, sentences that do
+    not, sentences with marked parts, and passages with a clean clause before or after them."""
+    toxic, clean = seed
+    typos = [m for t in toxic if (m := misspelt(t)) != t]
+    out = [got for t in (*toxic, *typos) for got in labelled(f"[[{t}]]")]
+    out += [got for t in (*clean, *marked) for got in labelled(t)]
+    for i, t in enumerate(toxic if clean else ()):
+        clause = clean[(7 * i) % len(clean)].rstrip(".!?")
+        passage = t.rstrip(".!?")
+        out += labelled(f"{clause}, [[{passage}]].") + labelled(f"[[{passage}]], {clean[(7 * i + 3) % len(clean)]}")
+    return [got for got in out if got[0]]
+
+
+def train(judged: list[tuple[str, float]], seed: tuple[list[str], list[str]], marked: list[str] = ()) -> Model:
     """A model from (text, share of annotators who called it toxic) and example sentences."""
-    sents, labels, weights = [], [], []
-    typos = [m for t in seed[0] if (m := misspelt(t)) != t]
-    for y, texts in ((1, [*seed[0], *typos]), (0, seed[1])):
-        for t in texts:
-            for c in chains(t):
-                sents.append(c)
-                labels.append(y)
-                weights.append(4.0)
+    known = examples(seed, marked)
+    sents, labels, weights = [c for c, _ in known], [y for _, y in known], [4.0] * len(known)
     first = Model()
     first.fit(sents, labels, weights)
     # a sentence's odds: what the first round says, times what the judgements of all documents with
@@ -305,18 +361,21 @@ def train(judged: list[tuple[str, float]], seed: tuple[list[str], list[str]]) ->
     pool: dict[tuple, list] = {}
     docs = [(chains(t), y) for t, y in judged]
     flat = [c for cs, _ in docs for c in cs]
-    scores = iter([sentence_score(p) for p in first.marginals(flat)] if flat else [])
+    marginals = iter(first.marginals(flat) if flat else [])
     base = min(0.5, max(0.02, sum(y for _, y in judged) / max(1, len(judged))))
     yes, no = np.log(0.9 / base), np.log(0.1 / (1 - base))
     for cs, y in docs:
         for c in cs:
-            s = min(0.98, max(0.02, next(scores)))
-            odds = pool.setdefault(tuple(t[0] for t in c), [c, np.log(s / (1 - s))])
+            p = next(marginals)
+            s = min(0.98, max(0.02, sentence_score(p)))
+            odds = pool.setdefault(tuple(t[0] for t in c), [c, np.log(s / (1 - s)), p])
             odds[1] += y * yes + (1 - y) * no
     model = Model()
-    for c, odds in pool.values():
+    for c, odds, p in pool.values():
+        # in a sentence that offends, the tokens the first round tags, or all if it tags none
+        hot = (p > 0.5).astype(int).tolist() if (p > 0.5).any() else [1] * len(c)
         sents.append(c)
-        labels.append(int(odds > 0))
+        labels.append(hot if odds > 0 else [0] * len(c))
         weights.append(float(np.tanh(abs(odds) / 2)))
     model.fit(sents, labels, weights)
     return model
@@ -333,9 +392,9 @@ def judged_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> lis
 def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str], spans: bool = True, most: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """``keep``, ``score``, ``toxic`` and, with ``spans``, the offending ``spans`` (start, end, p)
     of every document."""
-    from orelode.llm.examples import CLEAN, TOXIC
+    from orelode.llm.examples import CLEAN, MARKED, TOXIC
 
-    model = train(judged_sample(docs, labels, most), (TOXIC, CLEAN))
+    model = train(judged_sample(docs, labels, most), (TOXIC, CLEAN), MARKED)
     kinds = dict(docs.dtypes)
     shared = docs.sparkSession.sparkContext.broadcast((model.table, model.trans, model.bias))  # 2**BITS weights
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double, toxic boolean" + (", spans array<struct<start:int,end:int,p:double>>" if spans else "")
@@ -368,6 +427,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: list[str], spans:
                     names.append("spans")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    spark = docs.sparkSession
-    slots = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return docs.select(*dict.fromkeys([*keep, "text"])).repartition(slots).mapInArrow(run, schema)
+    return spread(docs.select(*dict.fromkeys([*keep, "text"]))).mapInArrow(run, schema)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from orelode.llm import toxicity as T
-from orelode.llm.examples import CLEAN, TOXIC
+from orelode.llm.examples import CLEAN, MARKED, TOXIC
 
 
 def scores(model, texts):
@@ -13,7 +13,7 @@ def scores(model, texts):
 
 @pytest.fixture(scope="module")
 def model():
-    return T.train([], (TOXIC, CLEAN))
+    return T.train([], (TOXIC, CLEAN), MARKED)
 
 
 @pytest.mark.parametrize("raw,word", [("fu​ck", "fuck"), ("f.u.c.k", "fuck"), ("s h i t h e a d", "shithead"), ("1d1ot", "idiot"), ("fuuuuck", "fuck"), ("idiоt", "idiot"), ("f*ck", "fuck"), ("a-s-s-h-o-l-e", "asshole"), ("id#ot", "idiot")])
@@ -37,6 +37,25 @@ def test_held_out_examples():
     assert np.mean(right) > 0.7
 
 
+def test_spans_leave_out_the_clean_half(model):
+    # none of these is an example; the offending words are the ones in brackets
+    texts = [
+        "The furnace was relined in June, [[you brainless moron]].", "[[Shut up, you fucking idiot]], the tonnage for May is in the table.", "The drill crew reached level nine and [[your boss is a lying bastard]].",
+        "The trucks queue at the weighbridge every morning, [[asshole]].", "[[You are a worthless cretin]], and the core boxes are stored in the shed.",
+    ]
+    inside, outside = [], []
+    for text in texts:
+        for c, gold in T.labelled(text):
+            for p, y in zip(model.marginals([c])[0], gold):
+                (inside if y else outside).append(p)
+    assert np.mean(np.array(inside) > 0.5) > 0.8 and np.mean(np.array(outside) > 0.5) < 0.15
+
+
+def test_labels_of_marked_parts():
+    ((chain, gold),) = T.labelled("The pump, [[you idiot]], runs.")
+    assert [t[0] for t, y in zip(chain, gold) if y] == ["you", "idiot"] and len(gold) == 5
+
+
 def test_forward_backward_against_enumeration():
     import itertools
 
