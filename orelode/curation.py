@@ -52,10 +52,10 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_flagged(spark: SparkSession, d: str) -> DataFrame:
-    """Per question: converted values, and those whose reading is not unique."""
+    """Per question: converted values, those whose reading is not unique, and those an identity contradicts."""
     rows = table(spark, d, "measurable_result").select("result_id", "json_id")
     got = units.canonical_values(*(table(spark, d, n) for n in ("measurable_result", "measurable", "unit_ref")))
-    return rows.join(got, "result_id").groupBy("json_id").agg(F.count("*").alias("converted"), F.count_if(~F.col("unique")).alias("not_unique"))
+    return rows.join(got, "result_id").groupBy("json_id").agg(F.count("*").alias("converted"), F.count_if(~F.col("unique")).alias("not_unique"), F.count_if("contradicted").alias("contradicted"))
 
 
 QUERIES = {

@@ -96,7 +96,8 @@ def resolved(quantity: str | None, canonical: str | None, in_text: str | None, i
     """(factor, shift, rank) readings of a value's unit within its quantity.
 
     The unit column counts; without one, the unit in the value's own text.  Scale words in the
-    text multiply a unit from the column unless the text only repeats that unit.
+    text multiply a unit from the column unless the text only repeats that unit.  Another unit that
+    the text itself names is a further, less likely reading.
     """
     text, column = (in_text or "").translate(_FOLD), (in_column or "").translate(_FOLD)
     text, column = _NOTE.sub(" ", text).strip(), column.strip()
@@ -113,8 +114,11 @@ def resolved(quantity: str | None, canonical: str | None, in_text: str | None, i
         if (quantity, code) in refs:
             factor, shift = refs[quantity, code]
             out.append((scale * s * factor, shift, len(out)))
-        elif code.endswith("koz/a") or code == "koz":
-            continue
+    own = text if column and out else ""
+    for s, code in readings(own) if own else ():
+        factor, shift = refs.get((quantity, code), (None, None))
+        if factor is not None and all((s * factor, shift) != (f, h) for f, h, _ in out):
+            out.append((s * factor, shift, 10 + len(out)))
     return out
 
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orelode.functions.units import number_readings, number_text, resolved
-from orelode.plans.runtime import bounded
+from orelode.plans.runtime import bounded, cut
 
 CANDIDATE = "array<struct<value:double,rank:int>>"
 
@@ -75,36 +75,39 @@ def unit_reader(unit_ref: DataFrame, most: int = 10_000):
     return read
 
 
-def canonical_values(results: DataFrame, measurable: DataFrame, unit_ref: DataFrame) -> DataFrame:
-    """``result_id``, ``value`` in the measurable's canonical unit, ``residual`` and ``unique``.
+def canonical_values(results: DataFrame, measurable: DataFrame, unit_ref: DataFrame, tolerance: float = 0.05) -> DataFrame:
+    """``result_id``, ``value`` in the measurable's canonical unit, ``residual``, ``unique`` and
+    ``contradicted``.
 
-    Identities: the value equals ``value_canonical`` where that is filled, and equals what the
-    other results of the same facility, question and day say unambiguously.  Rows without a
-    number, without any unit, or with a unit of another quantity give no row, nor do questions
-    without a quantity.  Repeated rows are converted each.
+    Every row's readings go through :func:`least_residual`.  Identities: the value equals
+    ``value_canonical`` where that is filled, and equals the mean (of logarithms) of what the other
+    results of the same facility, question and day say unambiguously.  Where the unit column and
+    the text name different units, the column's is likelier but an identity may overrule it.  A row
+    whose best residual exceeds ``tolerance`` is ``contradicted``, also if it has one reading only.
+    Rows without a number, without any unit, or with a unit of another quantity give no row, nor do
+    questions without a quantity.  Repeated rows are converted each.
     """
     asked = measurable.where(F.col("quantity").isNotNull()).select(F.col("json_id").alias("_json"), F.col("quantity").alias("_quantity"))
     num, rest = number_text(F.col("value_raw"))
-    rows = results.select("result_id", "facility_key", "json_id", "as_of_date", "value_canonical", num.alias("_num"), rest.alias("_rest"), "raw_unit")
+    keys = ["facility_key", "json_id", "as_of_date"]
+    rows = results.select("result_id", *keys, "value_canonical", num.alias("_num"), rest.alias("_rest"), "raw_unit")
     rows = rows.where(F.col("_num") != "").join(bounded(asked, 10_000), F.col("json_id") == F.col("_json"))
     read = unit_reader(unit_ref)
-    rows = rows.select("result_id", "facility_key", "json_id", "as_of_date", "value_canonical", number_readings(F.col("_num")).alias("_numbers"), read("_quantity", "_rest", "raw_unit").alias("_units"))
+    rows = rows.select("result_id", *keys, "value_canonical", number_readings(F.col("_num")).alias("_numbers"), read("_quantity", "_rest", "raw_unit").alias("_units"))
     read_as = F.flatten(
         F.transform("_numbers", lambda n: F.transform("_units", lambda u: F.struct((n["value"] * u["factor"] + u["shift"]).alias("value"), (n["rank"] + u["rank"]).alias("rank"))))
     )
-    rows = rows.withColumn("reported", read_as).where(F.size("reported") > 0).drop("_numbers", "_units")
-    one = lambda c: F.when(c.isNotNull(), F.array(F.struct(c.alias("value"), F.lit(0).alias("rank")))).otherwise(F.array().cast(CANDIDATE))
-    rows = rows.withColumn("filed", one(F.col("value_canonical")))
-    sure, unsure = F.size("reported") == 1, F.size("reported") > 1
-    keys = ["facility_key", "json_id", "as_of_date"]
-    peer = rows.where(sure & (F.col("reported")[0]["value"] > 0)).groupBy(*keys).agg(F.exp(F.avg(F.ln(F.col("reported")[0]["value"]))).alias("_peer"))
-    # one reading leaves nothing to choose: only its residual is stated
+    # read twice below, so the texts are parsed once and only numbers are kept
+    rows = cut(rows.withColumn("reported", read_as).where(F.size("reported") > 0).drop("_numbers", "_units"))
     value = F.col("reported")[0]["value"]
-    off = F.when((value > 0) & (F.col("value_canonical") > 0), F.abs(F.ln(value) - F.ln("value_canonical")))
-    plain = rows.where(sure).select("result_id", value.alias("value"), F.coalesce(off, F.lit(0.0)).alias("residual"), F.lit(True).alias("unique"))
-    part = rows.where(unsure).join(peer, keys, "left").withColumn("peers", one(F.col("_peer")))
-    solved = least_residual(part, ["reported", "filed", "peers"], [{"reported": 1, "filed": -1}, {"reported": 1, "peers": -1}])
-    return plain.unionByName(solved.select("result_id", F.col("chosen.reported").alias("value"), "chosen.residual", "chosen.unique"))
+    log = F.when((F.size("reported") == 1) & (value > 0), F.ln(value))
+    peers = rows.groupBy(*keys).agg(F.sum(log).alias("_sum"), F.count(log).alias("_n")).where("_n > 0")
+    others = F.col("_n") - F.when(log.isNotNull(), 1).otherwise(0)
+    mean = F.when(others > 0, F.exp((F.col("_sum") - F.coalesce(log, F.lit(0.0))) / others))
+    one = lambda c: F.when(c.isNotNull(), F.array(F.struct(c.alias("value"), F.lit(0).alias("rank")))).otherwise(F.array().cast(CANDIDATE))
+    rows = rows.join(peers, keys, "left").select("result_id", "reported", one(F.col("value_canonical")).alias("filed"), one(mean).alias("peers"))
+    solved = least_residual(rows, ["reported", "filed", "peers"], [{"reported": 1, "filed": -1}, {"reported": 1, "peers": -1}])
+    return solved.select("result_id", F.col("chosen.reported").alias("value"), "chosen.residual", "chosen.unique", (F.col("chosen.residual") > tolerance).alias("contradicted"))
 
 
 def milli(values: DataFrame) -> DataFrame:

@@ -68,6 +68,21 @@ def test_identities_decide_between_readings(spark):
     assert got["filed"] == (4.163, True) and got["peer"] == (4.163, True) and got["free"] == (4163.0, False)
 
 
+def test_a_wrong_unit_column_is_overruled_and_contradictions_are_flagged(spark):
+    import datetime
+
+    day = datetime.date(2024, 1, 1)
+    rows = [
+        ("wrong", "f", "cap", day, 4200.0, "4.2 kt per year", "t/a"), ("kept", "g", "cap", day, None, "4.2 kt per year", "t/a"), ("off", "h", "cap", day, 5000.0, "5", "t/a"),
+        ("p1", "i", "len", day, None, "100", "m"), ("p2", "i", "len", day, None, "101 m", None), ("p3", "i", "len", day, None, "90000", "m"), ("alone", "j", "len", day, None, "7", "m"),
+    ]
+    got = {r["result_id"]: r for r in canonical_values(*tables(spark, rows)).collect()}
+    assert (got["wrong"]["value"], got["wrong"]["contradicted"]) == (4200.0, False)
+    assert (got["kept"]["value"], got["kept"]["unique"]) == (4.2, False)  # the column counts, but nothing confirms it
+    assert got["off"]["value"] == 5.0 and got["off"]["contradicted"] and got["p3"]["contradicted"]
+    assert not got["alone"]["contradicted"] and got["alone"]["residual"] == 0.0
+
+
 def test_mass_density_volume(spark):
     of = lambda *v: [(x, i) for i, x in enumerate(v)]
     schema = ", ".join(f"{c} array<struct<value:double,rank:int>>" for c in ("mass", "density", "volume"))
