@@ -127,17 +127,19 @@ def similar_cores(cores: DataFrame, bands: int = BANDS, rows: int = ROWS) -> Dat
     at = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substring(text, i, F.lit(n)))
     distinct = cores.where("length(core) >= 4").select("country", "core").distinct()
     # a number of partitions given by hand: few bytes make much work here
-    own = cut(distinct.repartition(slots(cores.sparkSession)).withColumn("core_id", F.xxhash64("country", "core")))
+    # and small ids, for they travel with every key
+    own = cut(distinct.repartition(slots(cores.sparkSession))).withColumn("core_id", F.monotonically_increasing_id())
     base = own.withColumn("grams", F.array_distinct(F.concat(at(2), at(3))))
     band = lambda side, i: F.xxhash64(*(_minhash(F.col("grams"), 1000 * side + rows * i + r) for r in range(rows)))
     base = base.select("core_id", "country", *(F.array(*(band(s, i) for i in range(bands))).alias(f"side{s}") for s in (0, 1)))
     keys = F.flatten(F.transform("side0", lambda x, i: F.transform("side1", lambda y, j: F.xxhash64(F.col("country"), x, y, i * bands + j))))
     rest = own.select("core_id", "country", "core").mapInPandas(_shortened, "core_id bigint, country string, rest string")
-    tables = base.select("core_id", F.explode(keys).alias("key"), F.lit(True).alias("shingled"))
-    tables = tables.unionByName(rest.select("core_id", F.xxhash64("country", "rest").alias("key"), F.lit(False).alias("shingled")))
-    tables = tables.repartition(slots(cores.sparkSession), "key", "shingled")
-    pairs = tables.alias("l").join(tables.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.shingled") == F.col("r.shingled")) & (F.col("l.core_id") < F.col("r.core_id")))
-    pairs = pairs.groupBy(F.col("l.core_id").alias("x"), F.col("r.core_id").alias("y")).agg(F.max("l.shingled").alias("shingled"))
+    # the last bit of a key says whether it comes from a table of bands
+    marked = lambda key, shingled: F.shiftleft(key, 1) + F.lit(shingled)
+    tables = base.select("core_id", F.explode(keys).alias("k")).select("core_id", marked(F.col("k"), 1).alias("key"))
+    tables = tables.unionByName(rest.select("core_id", marked(F.xxhash64("country", "rest"), 0).alias("key"))).repartition(slots(cores.sparkSession), "key")
+    pairs = tables.alias("l").join(tables.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.core_id") < F.col("r.core_id")))
+    pairs = pairs.groupBy(F.col("l.core_id").alias("x"), F.col("r.core_id").alias("y")).agg((F.max(F.col("l.key").bitwiseAND(1)) == 1).alias("shingled"))
     side = lambda i, c: own.select(F.col("core_id").alias(i), F.col("country").alias(f"country_{c}"), F.col("core").alias(f"core_{c}"))
     pairs = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").where("country_a = country_b")
     length = F.greatest(F.length("core_a"), F.length("core_b"))
