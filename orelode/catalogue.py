@@ -39,6 +39,8 @@ def _box(table_: dict, lat: str, lon: str) -> str:
 
 
 LIST = "coalesce({0}, [])"
+PRIMARY = "list_filter(list_transform(list_filter(coalesce(commodities, []), lambda c: coalesce(c.is_primary, false)), lambda c: c.metal), lambda m: m IS NOT NULL)"
+SECOND = "list_filter(list_transform(list_filter(coalesce(commodities, []), lambda c: NOT coalesce(c.is_primary, false)), lambda c: c.metal), lambda m: m IS NOT NULL)"
 AUDIT = f"""
 WITH f AS (SELECT *, coalesce(location.lat = 0 OR location.lon = 0, true) OR location.lat IS NULL OR location.lon IS NULL AS no_point FROM facility),
 i AS (SELECT rec_id, facility_id, unnest(list_filter([
@@ -57,14 +59,14 @@ i AS (SELECT rec_id, facility_id, unnest(list_filter([
 """
 
 
-@query(AUDIT + "SELECT issue, count(*) AS records, count(DISTINCT facility_id) AS facilities FROM i GROUP BY issue")
+@query(AUDIT + "SELECT issue, count(*) AS records, count(DISTINCT facility_id) AS sites FROM i GROUP BY issue")
 def audit_issue_counts(spark, d):
-    return quality.audited(_facility(spark, d)).groupBy("issue").agg(F.count("*").alias("records"), F.countDistinct("facility_id").alias("facilities"))
+    return quality.audited(_facility(spark, d)).groupBy("issue").agg(F.count("*").alias("records"), F.countDistinct("facility_id").alias("sites"))
 
 
-@query(AUDIT + "SELECT count(DISTINCT facility_id) AS facilities, count(*) AS issues FROM i")
-def audit_distinct_facilities(spark, d):
-    return quality.audited(_facility(spark, d)).agg(F.countDistinct("facility_id").alias("facilities"), F.count("*").alias("issues"))
+@query(AUDIT + "SELECT count(DISTINCT facility_id) AS sites, count(*) AS issues FROM i")
+def audit_distinct_sites(spark, d):
+    return quality.audited(_facility(spark, d)).agg(F.countDistinct("facility_id").alias("sites"), F.count("*").alias("issues"))
 
 
 @query(AUDIT + "SELECT issue, rec_id FROM i QUALIFY row_number() OVER (PARTITION BY issue ORDER BY rec_id) <= 5")
@@ -72,11 +74,11 @@ def audit_topk_per_issue(spark, d):
     return quality.least_per_issue(quality.audited(_facility(spark, d)), 5)
 
 
-@query("""SELECT country_iso3, count(*) AS records, count(DISTINCT facility_id) AS facilities, count(*) FILTER (WHERE coalesce(location.lat <> 0 AND location.lon <> 0, false)) AS with_point,
+@query("""SELECT country_iso3, count(*) AS records, count(DISTINCT facility_id) AS sites, count(*) FILTER (WHERE coalesce(location.lat <> 0 AND location.lon <> 0, false)) AS with_point,
  count(*) FILTER (WHERE len(commodities) > 0) AS with_commodities FROM facility GROUP BY country_iso3""")
 def stats_by_country(spark, d):
     point = F.coalesce((quality.lat() != 0) & (quality.lon() != 0), F.lit(False))
-    return _facility(spark, d).groupBy("country_iso3").agg(F.count("*").alias("records"), F.countDistinct("facility_id").alias("facilities"), F.count_if(point).alias("with_point"), F.count_if(F.size("commodities") > 0).alias("with_commodities"))
+    return _facility(spark, d).groupBy("country_iso3").agg(F.count("*").alias("records"), F.countDistinct("facility_id").alias("sites"), F.count_if(point).alias("with_point"), F.count_if(F.size("commodities") > 0).alias("with_commodities"))
 
 
 @query("SELECT coalesce(status, 'unknown') AS status, count(*) AS records FROM facility GROUP BY 1")
@@ -89,14 +91,14 @@ def top10_countries(spark, d):
     return _facility(spark, d).where("country_iso3 is not null").groupBy("country_iso3").agg(F.count("*").alias("records")).orderBy(F.desc("records"), "country_iso3").limit(10)
 
 
-@query("""SELECT coalesce(country_iso3, 'ALL') AS country, count(*) AS records, count(name) AS named, count(canonical_slug) AS slugged, count(location.town) AS with_town,
+@query("""SELECT CASE WHEN grouping(country_iso3) = 1 THEN 'ALL' ELSE coalesce(country_iso3, 'none') END AS country, count(*) AS records, count(name) AS named, count(canonical_slug) AS slugged, count(location.town) AS with_town,
  count(*) FILTER (WHERE verification.confidence >= 0.8) AS high, count(*) FILTER (WHERE len(types) > 0) AS typed
- FROM facility WHERE country_iso3 IS NOT NULL GROUP BY ROLLUP (country_iso3)""")
+ FROM facility GROUP BY ROLLUP (country_iso3)""")
 def qc_by_country_rollup(spark, d):
-    rows = _facility(spark, d).where("country_iso3 is not null")
-    return rows.rollup("country_iso3").agg(
+    return _facility(spark, d).rollup("country_iso3").agg(
+        F.grouping("country_iso3").alias("whole"),
         F.count("*").alias("records"), F.count("name").alias("named"), F.count("canonical_slug").alias("slugged"), F.count("location.town").alias("with_town"), F.count_if(F.col("verification.confidence") >= 0.8).alias("high"), F.count_if(F.size("types") > 0).alias("typed")
-    ).select(F.coalesce("country_iso3", F.lit("ALL")).alias("country"), "records", "named", "slugged", "with_town", "high", "typed")
+    ).select(F.when(F.col("whole") == 1, "ALL").otherwise(F.coalesce("country_iso3", F.lit("none"))).alias("country"), "records", "named", "slugged", "with_town", "high", "typed")
 
 
 @query("""SELECT country_iso3, count(*) FILTER (WHERE c IS NULL) AS "none", count(*) FILTER (WHERE c < 0.5) AS low, count(*) FILTER (WHERE c >= 0.5 AND c < 0.8) AS medium, count(*) FILTER (WHERE c >= 0.8) AS high
@@ -163,15 +165,30 @@ def metal_synonyms(spark, d):
     return _facility(spark, d).select(F.explode("commodities.metal").alias("m")).groupBy(text.normalize_metal(F.col("m")).alias("metal")).agg(F.count("*").alias("mentions"))
 
 
-@query(f"""WITH c AS (SELECT rec_id, list_transform(list_filter(coalesce(commodities, []), lambda c: c.metal IS NOT NULL), lambda c: {_case('lower(trim(c.metal))', fixed.METALS, 'lower(trim(c.metal))')}) AS l FROM facility)
- SELECT rec_id, array_to_string(list_filter(l, lambda x, i: x <> '' AND x <> '-' AND list_position(l, x) = i), '|') AS metals FROM c""")
+_METALS = "list_transform(list_filter(list_transform(string_split_regex(array_to_string({0}, ';'), '[,;]'), lambda m: trim(m)), lambda m: m NOT IN ('', '-')), lambda m: {{'m': " + _case("lower(trim(m))", fixed.METALS, "lower(trim(m))") + ", 'p': {1}}})"
+
+
+@query(f"""WITH c AS (SELECT rec_id, list_concat({_METALS.format(PRIMARY, "true")}, {_METALS.format(SECOND, "false")}) AS l FROM facility), u AS (SELECT rec_id, l, list_transform(l, lambda x: x.m) AS ms FROM c)
+ SELECT rec_id, coalesce(array_to_string(list_transform(list_filter(l, lambda x, i: list_position(ms, x.m) = i), lambda x: x.m || CASE WHEN x.p THEN '*' ELSE '' END), '|'), '') AS metals FROM u""")
 def parse_commodities(spark, d):
-    joined = F.array_join(F.filter(F.coalesce("commodities.metal", F.array().cast("array<string>")), lambda m: m.isNotNull() & ~m.contains(",") & ~m.contains(";")), ";")
-    parsed = text.parse_commodities(joined, F.lit(""))
-    return _facility(spark, d).select("rec_id", F.array_join(F.transform(parsed, lambda x: x["metal"]), "|").alias("metals"))
+    """Metals as typed, split, normalised and distinct, primary ones marked with a star."""
+    parsed = text.parse_commodities(F.array_join(export.metals(True), ";"), F.array_join(export.metals(False), ";"))
+    return _facility(spark, d).select("rec_id", F.array_join(F.transform(parsed, lambda x: F.concat(x["metal"], F.when(x["primary"], "*").otherwise(""))), "|").alias("metals"))
 
 
-@query()
+def _hash_sql(lat: str, lon: str, length: int) -> str:
+    """Geohash of two numbers as SQL: cell numbers of both axes, their bits interleaved."""
+    total = 5 * length
+    east, north = total - total // 2, total // 2
+    number = lambda c, half, bits: f"greatest(0, least({(1 << bits) - 1}, CAST(ceil(({c} + {half}) / {2 * half / (1 << bits)!r}) AS BIGINT) - 1))"
+    chars = []
+    for at in range(length):
+        bit = [f"((({number(lon, 180.0, east)}) >> {east - 1 - p // 2}) & 1)" if p % 2 == 0 else f"((({number(lat, 90.0, north)}) >> {north - 1 - p // 2}) & 1)" for p in range(5 * at, 5 * at + 5)]
+        chars.append("substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST(1 + " + " + ".join(f"{1 << (4 - i)} * {x}" for i, x in enumerate(bit)) + " AS INTEGER), 1)")
+    return f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN {' || '.join(chars)} END"
+
+
+@query(f"SELECT rec_id, {_hash_sql('location.lat', 'location.lon', 7)} AS geohash FROM facility")
 def geohash7(spark, d):
     return _facility(spark, d).select("rec_id", text.geohash(F.col("location.lat"), F.col("location.lon")).alias("geohash"))
 
@@ -204,8 +221,6 @@ def ownership_parse(spark, d):
     return rows.select("text", F.explode(text.owners(F.col("text"))).alias("o")).select("text", "o.name", "o.percentage", "o.role")
 
 
-PRIMARY = "list_filter(list_transform(list_filter(coalesce(commodities, []), lambda c: coalesce(c.is_primary, false)), lambda c: c.metal), lambda m: m IS NOT NULL)"
-SECOND = "list_filter(list_transform(list_filter(coalesce(commodities, []), lambda c: NOT coalesce(c.is_primary, false)), lambda c: c.metal), lambda m: m IS NOT NULL)"
 JOINED = "coalesce(array_to_string(list_filter(coalesce({0}, []), lambda x: x IS NOT NULL), ','), '')"
 NAMED = "list_filter(list_transform(coalesce(company_mentions, []), lambda m: m.name), lambda n: n IS NOT NULL AND n <> '')"
 
@@ -215,7 +230,7 @@ NAMED = "list_filter(list_transform(coalesce(company_mentions, []), lambda m: m.
  array_to_string({SECOND}, ',') AS secondary_commodities, {JOINED.format('list_transform(commodities, lambda c: c.metal)')} AS all_commodities, array_to_string({NAMED}, ',') AS company_mentions, {JOINED.format('aliases')} AS aliases,
  verification.confidence AS confidence, CAST(len(coalesce(sources, [])) AS INTEGER) AS source_count, array_to_string(list_sort(list_distinct(list_filter(list_transform(coalesce(sources, []), lambda s: s.type), lambda t: t IS NOT NULL AND t <> ''))), ',') AS source_types,
  coalesce(left(verification.notes, 500), '') AS notes FROM facility""")
-def flatten_facilities(spark, d):
+def flatten_records(spark, d):
     return export.flattened(_facility(spark, d))
 
 
@@ -314,22 +329,39 @@ def dedupe_merge_aliases(spark, d):
 CUT = "TIMESTAMP '2025-10-01 00:00:00'"
 
 
-@query(f"""WITH n AS (SELECT * FROM facility WHERE loaded_at >= {CUT}), o AS (SELECT * FROM facility WHERE loaded_at < {CUT}),
- h AS (SELECT n.rec_id, min(o.rec_id) AS oid, 1 AS priority FROM n JOIN o USING (facility_id) GROUP BY 1
- UNION ALL SELECT n.rec_id, min(o.rec_id), 2 FROM n JOIN o ON lower(n.name) = lower(o.name) WHERE abs(n.location.lat - o.location.lat) < 0.01 AND abs(n.location.lon - o.location.lon) < 0.01 GROUP BY 1
- UNION ALL SELECT n.rec_id, min(o.rec_id), 3 FROM n JOIN (SELECT rec_id, lower(unnest(aliases)) AS a FROM o) o ON lower(n.name) = o.a WHERE o.a <> '' GROUP BY 1)
+WORDS = "list_distinct(list_filter(string_split_regex({0}, '\\s+'), lambda w: w <> ''))"
+NEW_OLD = f"""WITH f AS (SELECT rec_id, facility_id, coalesce(country_iso3, '') AS c, lower(name) AS low, location.lat AS a, location.lon AS o, loaded_at, coalesce(location.lat = 0 OR location.lon = 0, true) OR location.lat IS NULL OR location.lon IS NULL AS bare,
+  list_filter(list_transform(coalesce(aliases, []), lambda x: lower(x)), lambda x: x IS NOT NULL AND x <> '') AS al, {WORDS.format('lower(name)')} AS w FROM facility),
+ n AS (SELECT * FROM f WHERE loaded_at >= {CUT}), o AS (SELECT * FROM f WHERE loaded_at < {CUT})"""
+
+
+@query(f"""{NEW_OLD}, h AS (SELECT n.rec_id, o.rec_id AS oid, 0 AS priority FROM n JOIN o USING (facility_id)
+ UNION ALL SELECT n.rec_id, o.rec_id, 1 FROM n JOIN o USING (c) WHERE abs(n.a - o.a) < 0.1 AND abs(n.o - o.o) < 0.1 AND (contains(n.low, o.low) OR contains(o.low, n.low))
+ UNION ALL SELECT n.rec_id, o.rec_id, 2 FROM n JOIN o USING (c, low) WHERE n.bare OR o.bare OR (abs(n.a - o.a) < 0.01 AND abs(n.o - o.o) < 0.01)
+ UNION ALL SELECT n.rec_id, o.rec_id, 3 FROM n JOIN o USING (c) WHERE least(len(n.w), len(o.w)) > 0 AND len(list_intersect(n.w, o.w)) / least(len(n.w), len(o.w)) > 0.8
+ UNION ALL SELECT n.rec_id, o.rec_id, 4 FROM n JOIN o USING (c) WHERE (n.low <> '' AND list_contains(o.al, n.low)) OR (o.low <> '' AND list_contains(n.al, o.low)) OR list_has_any(n.al, o.al))
  SELECT rec_id, arg_min(oid, (priority, oid)) AS existing_rec_id, min(priority) AS priority FROM h GROUP BY rec_id""")
 def import_check_duplicate(spark, d):
+    """The duplicate check on import, native part: without similarity, which SQL cannot state."""
+    rows = _facility(spark, d)
+    at = F.lit("2025-10-01 00:00:00+00:00").cast("timestamp")
+    return dedupe.import_matches(rows.where(F.col("loaded_at") >= at), rows.where(F.col("loaded_at") < at), similar=False)
+
+
+@query()
+def import_check_similar(spark, d):
+    """The whole duplicate check on import."""
     rows = _facility(spark, d)
     at = F.lit("2025-10-01 00:00:00+00:00").cast("timestamp")
     return dedupe.import_matches(rows.where(F.col("loaded_at") >= at), rows.where(F.col("loaded_at") < at))
 
 
-@query(f"""WITH f AS (SELECT rec_id, country_iso3, location.lat AS a, location.lon AS o, coalesce({_box(fixed.BBOX, 'location.lat', 'location.lon')}, true) AS ins, coalesce({_box(fixed.BBOX, 'location.lon', 'location.lat')}, true) AS swp FROM facility),
- c AS (SELECT rec_id, CASE WHEN a IS NULL OR o IS NULL THEN 'missing_coordinates' WHEN abs(a) > 90 OR abs(o) > 180 THEN 'invalid_range' WHEN NOT ins AND swp THEN 'latlon_swap' WHEN NOT ins THEN 'out_of_bounds' WHEN a = floor(a) AND o = floor(o) THEN 'suspicious_precision' END AS issue FROM f)
- SELECT rec_id, issue FROM c WHERE issue IS NOT NULL""")
+@query(f"""WITH f AS (SELECT rec_id, location.lat AS a, location.lon AS o, coalesce({_box(fixed.BBOX, 'location.lat', 'location.lon')}, true) AS ins, coalesce({_box(fixed.BBOX, 'location.lon', 'location.lat')}, true) AS swp FROM facility),
+ g AS (SELECT *, a IS NULL OR o IS NULL AS missing, coalesce(abs(a) > 90 OR abs(o) > 180, false) AS bad FROM f)
+ SELECT rec_id, 'missing_coordinates' AS issue FROM g WHERE missing UNION ALL SELECT rec_id, 'invalid_range' FROM g WHERE NOT missing AND bad UNION ALL SELECT rec_id, CASE WHEN swp THEN 'latlon_swap' ELSE 'out_of_bounds' END FROM g WHERE NOT missing AND NOT bad AND NOT ins
+ UNION ALL SELECT rec_id, 'suspicious_precision' FROM g WHERE NOT missing AND NOT bad AND a = floor(a) AND o = floor(o)""")
 def bbox_validation(spark, d):
-    return _facility(spark, d).select("rec_id", quality.bbox_check(quality.lat(), quality.lon(), F.col("country_iso3")).alias("issue")).where("issue is not null")
+    return _facility(spark, d).select("rec_id", F.explode(quality.bbox_checks(quality.lat(), quality.lon(), F.col("country_iso3"))).alias("issue"))
 
 
 ISSUES = f"""WITH f AS (SELECT rec_id, facility_id, country_iso3, location.lat AS a, location.lon AS o, NOT {_box(fixed.FIX_BOUNDS, 'location.lat', 'location.lon')} AS outside, {_box(fixed.FIX_BOUNDS, 'location.lon', 'location.lat')} AS swp FROM facility),
@@ -345,14 +377,19 @@ def coord_issues(spark, d):
     return _facility(spark, d).select("rec_id", F.explode(found).alias("i")).select("rec_id", "i.issue")
 
 
-@query(f"""SELECT rec_id, CASE WHEN country_iso3 IN {_in(fixed.NORTHERN)} AND location.lat < 0 AND facility_id NOT IN {_in(fixed.KNOWN_FIXES)} AND location.lon IS NOT NULL THEN abs(location.lat) ELSE location.lat END AS lat, location.lon AS lon,
- CASE WHEN country_iso3 IN {_in(fixed.NORTHERN)} AND location.lat < 0 AND location.lon IS NOT NULL THEN 'wrong_hemisphere' END AS fixed_by FROM facility WHERE facility_id NOT IN {_in((*fixed.KNOWN_DELETES, *fixed.KNOWN_FIXES))}""")
+KNOWN = "CASE facility_id " + " ".join(f"WHEN '{k}' THEN {v[0]!r}" for k, v in fixed.KNOWN_FIXES.items()) + " END"
+KNOWN_LON = "CASE facility_id " + " ".join(f"WHEN '{k}' THEN {v[1]!r}" for k, v in fixed.KNOWN_FIXES.items()) + " END"
+
+
+@query(f"""WITH f AS (SELECT rec_id, facility_id, location.lat AS a, location.lon AS o, {KNOWN} AS ka, {KNOWN_LON} AS ko, location.lat IS NOT NULL AND location.lon IS NOT NULL AS has, country_iso3 IN {_in(fixed.NORTHERN)} AND location.lat < 0 AS south FROM facility),
+ g AS (SELECT *, CASE WHEN NOT has THEN NULL WHEN ka IS NOT NULL THEN 'known_fix' WHEN south THEN 'wrong_hemisphere' END AS fixed_by FROM f WHERE NOT (has AND coalesce(facility_id IN {_in(fixed.KNOWN_DELETES)}, false)))
+ SELECT rec_id, CASE fixed_by WHEN 'known_fix' THEN ka WHEN 'wrong_hemisphere' THEN abs(a) ELSE a END AS lat, CASE fixed_by WHEN 'known_fix' THEN ko ELSE o END AS lon, fixed_by FROM g""")
 def coord_fix_apply(spark, d):
-    return quality.fixed_coordinates(_facility(spark, d).where(~F.col("facility_id").isin(*fixed.KNOWN_FIXES)))
+    return quality.fixed_coordinates(_facility(spark, d))
 
 
 @query(f"""SELECT verdict, count(*) AS records FROM (SELECT CASE WHEN a IS NULL OR o IS NULL THEN 'missing' WHEN round(a, 7) = {fixed.SENTINEL[0]} AND round(o, 7) = {fixed.SENTINEL[1]} THEN 'sentinel' WHEN abs(a) > 90 OR abs(o) > 180 THEN 'invalid' WHEN NOT ins THEN 'out_of_bbox' ELSE 'accept' END AS verdict
- FROM (SELECT location.lat AS a, location.lon AS o, coalesce({_box(fixed.BBOX, 'location.lat', 'location.lon')}, true) AS ins FROM facility)) GROUP BY 1""")
+ FROM (SELECT location.lat AS a, location.lon AS o, coalesce({_box(fixed.WRITE_BBOX, 'location.lat', 'location.lon')}, true) AS ins FROM facility)) GROUP BY 1""")
 def geocode_write_gates(spark, d):
     return _facility(spark, d).groupBy(quality.write_gate(quality.lat(), quality.lon(), F.col("country_iso3")).alias("verdict")).agg(F.count("*").alias("records"))
 
@@ -378,12 +415,15 @@ def canonical_core_names(spark, d):
     return _facility(spark, d).select("rec_id", text.core_name(F.col("name")).alias("core"))
 
 
-@query(f"""WITH r AS (SELECT facility_id, min(name) AS name, min(location.region) AS region FROM facility WHERE name IS NOT NULL AND facility_id IS NOT NULL GROUP BY 1), b AS (SELECT facility_id, {SLUG.format('name')} AS slug, {SLUG.format('region')} AS region FROM r),
- f AS (SELECT *, min(facility_id) OVER (PARTITION BY slug) AS fst FROM b), t AS (SELECT *, CASE WHEN facility_id = fst THEN slug WHEN region IS NOT NULL THEN slug || '-' || region ELSE slug || '-x' END AS tr FROM f), o AS (SELECT *, min(facility_id) OVER (PARTITION BY tr) AS own FROM t)
- SELECT facility_id, CASE WHEN facility_id = own AND NOT suffix(tr, '-x') THEN tr ELSE slug || '-' || substr(sha256(facility_id), 1, 10) END AS unique_slug FROM o""")
+@query(f"""WITH r AS (SELECT facility_id, min(name) AS name, min(location.region) AS region, min(location.lat) AS la, min(location.lon) AS lo FROM facility WHERE name IS NOT NULL AND facility_id IS NOT NULL GROUP BY 1),
+ b AS (SELECT facility_id, {SLUG.format('name')} AS slug, nullif({SLUG.format('region')}, '') AS region, {_hash_sql('la', 'lo', 6)} AS gh FROM r),
+ h1 AS (SELECT slug AS try, min(facility_id) AS facility_id FROM b GROUP BY 1), b2 AS (SELECT * FROM b WHERE facility_id NOT IN (SELECT facility_id FROM h1)),
+ h2 AS (SELECT try, min(facility_id) AS facility_id FROM (SELECT slug || '-' || region AS try, facility_id FROM b2) WHERE try IS NOT NULL AND try NOT IN (SELECT try FROM h1) GROUP BY 1), b3 AS (SELECT * FROM b2 WHERE facility_id NOT IN (SELECT facility_id FROM h2)),
+ h3 AS (SELECT try, min(facility_id) AS facility_id FROM (SELECT slug || '-' || gh AS try, facility_id FROM b3) WHERE try IS NOT NULL AND try NOT IN (SELECT try FROM h1 UNION ALL SELECT try FROM h2) GROUP BY 1)
+ SELECT facility_id, try AS unique_slug FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) UNION ALL SELECT facility_id, slug || '-' || substr(sha256(facility_id), 1, 10) FROM b3 WHERE facility_id NOT IN (SELECT facility_id FROM h3)""")
 def slug_disambiguation(spark, d):
-    rows = _facility(spark, d).where("name is not null and facility_id is not null").groupBy("facility_id").agg(F.min("name").alias("name"), F.min("location.region").alias("region"))
-    return dedupe.disambiguated(rows, text.slugify(F.col("name")), text.slugify(F.col("region")), "facility_id")
+    rows = _facility(spark, d).where("name is not null and facility_id is not null").groupBy("facility_id").agg(F.min("name").alias("name"), F.min("location.region").alias("region"), F.min("location.lat").alias("la"), F.min("location.lon").alias("lo"))
+    return dedupe.disambiguated(rows, text.slugify(F.col("name")), [text.slugify(F.col("region")), text.geohash(F.col("la"), F.col("lo"), 6)], "facility_id")
 
 
 @query("""SELECT country_iso3, count(*) AS n_mentions, count(DISTINCT trim(m.name)) AS companies, round(avg(m.confidence), 6) AS avg_confidence FROM (SELECT country_iso3, unnest(company_mentions) AS m FROM facility) WHERE trim(m.name) <> '' GROUP BY country_iso3""")
@@ -398,9 +438,9 @@ def table_header_hits(spark, d):
     return table(spark, d, "documents").select(F.col("source").alias("header")).distinct().select("header", hits.alias("hits"))
 
 
-@query("SELECT facility_id, s.type AS type, s.id AS id, count(*) AS n_seen FROM (SELECT facility_id, unnest(sources) AS s FROM facility WHERE facility_id IS NOT NULL) GROUP BY 1, 2, 3")
+@query("""SELECT facility_id, s.type AS type, s.id AS id, arg_min(coalesce(s.url, ''), (rec_id, pos)) AS url, count(*) AS n_seen FROM (SELECT facility_id, rec_id, unnest(sources) AS s, generate_subscripts(sources, 1) AS pos FROM facility WHERE facility_id IS NOT NULL) GROUP BY 1, 2, 3""")
 def dedupe_merge_sources(spark, d):
-    return dedupe.merged_sources(_facility(spark, d), "facility_id").select("facility_id", "type", "id", "n_seen")
+    return dedupe.merged_sources(_facility(spark, d), "facility_id").select("facility_id", "type", "id", F.coalesce("url", F.lit("")).alias("url"), "n_seen")
 
 
 @query("""SELECT facility_id, lower(trim(c.metal)) AS metal, arg_max(c.chemical_formula, (rec_id, pos)) FILTER (WHERE c.chemical_formula IS NOT NULL) AS chemical_formula, bool_or(coalesce(c.is_primary, false)) AS is_primary
@@ -415,9 +455,14 @@ def dedupe_merge_mentions(spark, d):
     return dedupe.merged_mentions(_facility(spark, d), "facility_id").select("facility_id", "name", "confidence", F.coalesce("role", F.lit("")).alias("role"))
 
 
-@query(f"SELECT country_iso3, count(*) AS kept FROM facility WHERE facility_id IS NULL OR rec_id IN (SELECT arg_max(rec_id, (round({SCORE}, 6), -rec_id)) FROM facility WHERE facility_id IS NOT NULL GROUP BY facility_id) GROUP BY 1")
+@query(f"SELECT rec_id, facility_id, name FROM facility WHERE facility_id IS NULL OR rec_id IN (SELECT arg_max(rec_id, (round({SCORE}, 6), -rec_id)) FROM facility WHERE facility_id IS NOT NULL GROUP BY facility_id)")
 def dedupe_apply(spark, d):
-    return dedupe.without_losers(_facility(spark, d), "facility_id").groupBy("country_iso3").agg(F.count("*").alias("kept"))
+    return dedupe.without_losers(_facility(spark, d), "facility_id").select("rec_id", "facility_id", "name")
+
+
+@query("SELECT (SELECT count(*) FROM facility) AS records, count(*) FILTER (WHERE n > 1) AS groups, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS in_groups, CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS removed FROM (SELECT count(*) AS n FROM facility WHERE facility_id IS NOT NULL GROUP BY facility_id)")
+def dedupe_summary(spark, d):
+    return dedupe.dedupe_summary(_facility(spark, d), "facility_id")
 
 
 @query()

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orelode.catalogue import NOISE, _case, _in
+from orelode.catalogue import NOISE, SLUG, _case, _in
 from orelode.functions import fixed, text
-from orelode.operators import enrich, ingest, spatial
+from orelode.operators import dedupe, enrich, ingest, spatial
 from orelode.plans.runtime import bounded, table
 from orelode.sources import reports
 
@@ -42,15 +42,33 @@ def needs_work_by_country(spark, d):
 
 TYPE_PAIR = f"""CASE WHEN raw IS NULL OR raw = '' THEN ['facility', '0.2'] WHEN regexp_matches(replace(replace(r, '.', ''), '-', ''), '^[0-9]+$') THEN ['facility', '0.1'] WHEN r IN {_in(fixed.TYPE_MAPPING)} THEN [{_case('r', fixed.TYPE_MAPPING, 'NULL')}, '0.95']
  WHEN fl IN {_in(fixed.TYPE_MAPPING)} THEN [{_case('fl', fixed.TYPE_MAPPING, 'NULL')}, '0.9'] {' '.join(f"WHEN contains(r, '{k}') THEN ['{v}', '0.85']" for k, v in fixed.TYPE_MAPPING.items())} ELSE ['facility', '0.3'] END"""
-CANON = f"""WITH a AS (SELECT rec_id, name AS full_name, trim(name) AS nm, coalesce(trim(location.town), '') AS town0, coalesce(trim((list_filter(company_mentions, lambda m: lower(m.role) = 'operator' AND trim(m.name) <> ''))[1].name), '') AS op0, CASE WHEN {NOISE} <> '' THEN {NOISE} ELSE trim(name) END AS core,
- types[1] AS raw, lower(trim(types[1])) AS r, replace(replace(lower(trim(types[1])), '_', ' '), '-', ' ') AS fl FROM facility),
+_BARE = "regexp_replace(name, '\\([^)]*\\)', ' ', 'g')"
+#: The core of a name without its operator ``op0``.
+CORE = NOISE.replace(_BARE, f"CASE WHEN op0 = '' THEN {_BARE} ELSE regexp_replace({_BARE}, '(?i)\\b' || regexp_escape(op0) || '\\b', ' ', 'g') END")
+HUMAN = "CASE t[1] " + " ".join(f"WHEN '{v}' THEN '{v.replace('_', ' ').title()}'" for v in dict.fromkeys(fixed.TYPE_MAPPING.values())) + " ELSE '' END"
+CANON = f"""WITH a0 AS (SELECT *, coalesce(trim((list_filter(company_mentions, lambda m: lower(m.role) = 'operator' AND trim(m.name) <> ''))[1].name), '') AS op0 FROM facility),
+ a AS (SELECT rec_id, name AS full_name, trim(name) AS nm, coalesce(trim(location.town), '') AS town0, op0, CASE WHEN {CORE} <> '' THEN {CORE} ELSE trim(name) END AS core,
+ types[1] AS raw, lower(trim(types[1])) AS r, replace(replace(lower(trim(types[1])), '_', ' '), '-', ' ') AS fl FROM a0),
  b AS (SELECT *, {TYPE_PAIR} AS t, CASE WHEN lower(town0) = lower(core) THEN '' ELSE town0 END AS town, CASE WHEN lower(op0) = lower(core) THEN '' ELSE op0 END AS op FROM a)
 """
+NAMES = f"array_to_string(list_filter([town, op, core, {HUMAN}], lambda x: x IS NOT NULL AND x <> ''), ' ')"
+BASE_SLUG = SLUG.format("array_to_string(list_filter([nullif(town, ''), core, t[1]], lambda x: x IS NOT NULL), ' ')")
 
 
-@query(CANON + "SELECT rec_id, core AS display_name, t[1] AS primary_type, round(0.15 * CAST(town <> '' AS INTEGER) + 0.35 * CASE WHEN core <> nm THEN 0.9 ELSE 0.6 END + 0.30 * CAST(t[2] AS DOUBLE) + 0.20 * CAST(op <> '' AS INTEGER), 4) AS confidence FROM b")
+@query(CANON + f"SELECT rec_id, {NAMES} AS canonical_name, core AS display_name, {BASE_SLUG} AS slug, t[1] AS primary_type, round(0.15 * CAST(town <> '' AS INTEGER) + 0.35 * CASE WHEN core <> nm THEN 0.9 ELSE 0.6 END + 0.30 * CAST(t[2] AS DOUBLE) + 0.20 * CAST(op <> '' AS INTEGER), 4) AS confidence FROM b")
 def canonical_names(spark, d):
-    return enrich.canonical(table(spark, d, "facility")).select("rec_id", "display_name", "primary_type", "confidence")
+    return enrich.canonical(table(spark, d, "facility"))
+
+
+@query(CANON + f""", s AS (SELECT facility_id, min(slug) AS slug, min(region) AS region FROM (SELECT f.facility_id, {BASE_SLUG} AS slug, nullif({SLUG.format('f.location.region')}, '') AS region FROM b JOIN facility f USING (rec_id)) WHERE facility_id IS NOT NULL AND slug <> '' GROUP BY 1),
+ h1 AS (SELECT slug AS try, min(facility_id) AS facility_id FROM s GROUP BY 1), s2 AS (SELECT * FROM s WHERE facility_id NOT IN (SELECT facility_id FROM h1)),
+ h2 AS (SELECT try, min(facility_id) AS facility_id FROM (SELECT slug || '-' || region AS try, facility_id FROM s2) WHERE try IS NOT NULL AND try NOT IN (SELECT try FROM h1) GROUP BY 1)
+ SELECT facility_id, try AS unique_slug FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2) UNION ALL SELECT facility_id, slug || '-' || substr(sha256(facility_id), 1, 10) FROM s2 WHERE facility_id NOT IN (SELECT facility_id FROM h2)""")
+def canonical_slugs(spark, d):
+    """A slug of its own for each id, from the canonical names of its records."""
+    f = table(spark, d, "facility")
+    rows = enrich.canonical(f).join(f.select("rec_id", "facility_id", text.slugify(F.col("location.region")).alias("region")), "rec_id").where("facility_id is not null and slug <> ''")
+    return dedupe.disambiguated(rows.groupBy("facility_id").agg(F.min("slug").alias("slug"), F.min(F.nullif("region", F.lit(""))).alias("region")), F.col("slug"), [F.col("region")], "facility_id")
 
 
 @query(CANON + """SELECT b.rec_id, coalesce(trim(f.location.town) = '', true) AS town_missing, NOT coalesce(len(list_filter(f.company_mentions, lambda m: coalesce(m.role = 'operator', false))) > 0, false) AS operator_unresolved,

@@ -39,14 +39,19 @@ BBOX = {
     "RUS": (41.0, 82.0, 19.0, -169.0), "TCD": (7.0, 24.0, 13.0, 24.5), "USA": (24.0, 72.0, -180.0, -66.0), "ZAF": (-35.0, -22.0, 16.0, 33.0), "ZMB": (-18.0, -8.0, 22.0, 34.0),
     "ARG": (-55.0, -21.0, -74.0, -53.0), "BOL": (-23.0, -9.0, -70.0, -57.0), "ECU": (-5.0, 2.0, -92.0, -75.0), "VEN": (0.0, 13.0, -74.0, -59.0), "FRA": (-21.0, 51.0, -62.0, 10.0),
 }
+#: Countries whose box does not hold back a new position.
+WRITE_BBOX = {k: v for k, v in BBOX.items() if k not in ("ARG", "BOL", "ECU", "VEN", "FRA")}
 FIX_BOUNDS = {"AUS": (-44, -10, 112, 154), "BRA": (-34, 5, -74, -34), "IDN": (-11, 6, 95, 141), "SAU": (16, 32, 34, 56), "ZAF": (-35, -22, 16, 33), "CHL": (-56, -17, -76, -66), "BOL": (-23, -9, -69, -57), "USA": (24, 72, -180, -66)}
 SENTINEL = (21.7713519, -72.2788891)
 NORTHERN = (
-    "SAU ARE OMN YEM QAT KWT BHR IRQ IRN JOR LBN SYR ISR PSE AFG PAK NPL BTN BGD MMR THA LAO VNM KHM PHL CHN MNG KOR PRK JPN TWN USA CAN MEX GTM BLZ SLV HND NIC CRI PAN CUB HTI DOM JAM TTO MAR DZA TUN LBY EGY MRT MLI NER "
-    "TCD SDN SSD ERI DJI ETH SEN GMB GNB GIN SLE LBR CIV GHA TGO BEN BFA NGA CMR CAF ESP PRT FRA BEL NLD DEU POL CZE SVK AUT CHE ITA GRC TUR ROU BGR HUN HRV SVN BIH SRB MNE MKD ALB KOS GBR IRL ISL NOR SWE FIN DNK EST LVA "
-    "LTU BLR UKR MDA RUS GEO ARM AZE KAZ UZB TKM TJK KGZ"
-).split()
-LON_NEAR_1 = "FRA DZA BFA NER BEN TGO GHA GBR AND ESP".split()
+    "SAU", "ARE", "OMN", "YEM", "QAT", "KWT", "BHR", "IRQ", "IRN", "JOR", "LBN", "SYR", "ISR", "PSE", "AFG", "PAK", "NPL", "BTN", "BGD", "MMR", "THA", "LAO", "VNM", "KHM",
+    "PHL", "CHN", "MNG", "KOR", "PRK", "JPN", "TWN", "USA", "CAN", "MEX", "GTM", "BLZ", "SLV", "HND", "NIC", "CRI", "PAN", "CUB", "HTI", "DOM", "JAM", "TTO", "MAR", "DZA",
+    "TUN", "LBY", "EGY", "MRT", "MLI", "NER", "TCD", "SDN", "SSD", "ERI", "DJI", "ETH", "SEN", "GMB", "GNB", "GIN", "SLE", "LBR", "CIV", "GHA", "TGO", "BEN", "BFA", "NGA",
+    "CMR", "CAF", "ESP", "PRT", "FRA", "BEL", "NLD", "DEU", "POL", "CZE", "SVK", "AUT", "CHE", "ITA", "GRC", "TUR", "ROU", "BGR", "HUN", "HRV", "SVN", "BIH", "SRB", "MNE",
+    "MKD", "ALB", "KOS", "GBR", "IRL", "ISL", "NOR", "SWE", "FIN", "DNK", "EST", "LVA", "LTU", "BLR", "UKR", "MDA", "RUS", "GEO", "ARM", "AZE", "KAZ", "UZB", "TKM", "TJK",
+    "KGZ",
+)
+LON_NEAR_1 = ("FRA", "DZA", "BFA", "NER", "BEN", "TGO", "GHA", "GBR", "AND", "ESP")
 KNOWN_FIXES = {
     "aus-mount-newman-fac": (-23.361111, 119.7325), "aus-yandicoogina-fac": (-22.776192, 119.2), "idn-earthstone-nalo-baru-mine-fac": (-2.01394, 101.5), "sau-jabal-sayid-fac": (24.276714683519764, 45.51155643412581),
     "bol-bolivar-mine-fac": (-19.5, -66.1), "ncl-snowy-river-project-fac": (-22.3, 166.5), "kor-sangdong-mine-fac": (37.15, 128.7),
@@ -57,5 +62,5 @@ TABLE_WORDS = ("site", "mine", "facility", "name", "deposit", "project", "latitu
 SITE_HEADERS = ("site", "mine name", "mine/project name", "project name", "facility name", "asset name")
 NOT_NAMES = (
     "^-+$", "^n/?a$", "^tbd$", "^unknown$", "^note:", r"^\(note", "this table", "representative compilation", "^no other (name|known)", "^not (specified|identified|available)",
-    "^no (steel|processing|facilities|industry|smelters)", "no .+ exist", "net importer", "^generic potential", "^uneconomic traces", "^potential noted", "^.{1,2}$",
+    "^no (steel|processing|facilit(?:y|ies)|industry|smelters)", "no .+ exist", "net importer", "^generic potential", "^uneconomic traces", "^potential noted", "^.{1,2}$",
 )

@@ -86,9 +86,13 @@ def humanize_type(c: Column) -> Column:
     return F.when(c.isNull() | c.isin("", "facility"), "").otherwise(F.initcap(F.translate(c, "_", " ")))
 
 
-def core_name(c: Column) -> Column:
-    """The name without parentheticals and noise words; the trimmed name if nothing is left."""
+def core_name(c: Column, operator: Column | None = None) -> Column:
+    """The name without parentheticals, its operator and noise words; the trimmed name if nothing
+    is left."""
     s = F.regexp_replace(c, r"\([^)]*\)", " ")
+    if operator is not None:
+        word = F.concat(F.lit(r"(?i)\b\Q"), F.regexp_replace(operator, r"\\E", ""), F.lit(r"\E\b"))
+        s = F.when(F.coalesce(operator, F.lit("")) == "", s).otherwise(F.regexp_replace(s, word, F.lit(" ")))
     for word in sorted(fixed.NOISE_WORDS, key=lambda w: (-len(w), w)):
         s = F.regexp_replace(s, rf"(?i)\b{word}\b", " ")
     s = F.trim(F.regexp_replace(s, r"\s+", " "))
@@ -119,21 +123,53 @@ def owners(c: Column) -> Column:
 
 
 def geohash(lat: Column, lon: Column, length: int = 7) -> Column:
-    """Geohash by bisection with strict comparisons, so (0, 0) is ``7zzzzzz``; null in, null out."""
-    start = F.struct(F.lit(-90.0).alias("a"), F.lit(90.0).alias("b"), F.lit(-180.0).alias("c"), F.lit(180.0).alias("d"), F.lit(0).cast("long").alias("bits"))
-
-    def step(s: Column, i: Column) -> Column:
-        east = i % 2 == 0
-        mid = F.when(east, (s["c"] + s["d"]) / 2).otherwise((s["a"] + s["b"]) / 2)
-        up = F.when(east, lon > mid).otherwise(lat > mid)
-        return F.struct(
-            F.when(~east & up, mid).otherwise(s["a"]).alias("a"), F.when(~east & ~up, mid).otherwise(s["b"]).alias("b"), F.when(east & up, mid).otherwise(s["c"]).alias("c"),
-            F.when(east & ~up, mid).otherwise(s["d"]).alias("d"), (s["bits"] * 2 + up.cast("long")).alias("bits"),
-        )
-
-    bits = F.aggregate(F.sequence(F.lit(0), F.lit(5 * length - 1)), start, step, lambda s: s["bits"])
-    chars = F.transform(F.sequence(F.lit(length - 1), F.lit(0)), lambda i: F.substring(F.lit("0123456789bcdefghjkmnpqrstuvwxyz"), ((bits / F.pow(F.lit(32), i)).cast("long") % 32 + 1).cast("int"), F.lit(1)))
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.array_join(chars, ""))
+    """Geohash by bisection with strict comparisons, so (0, 0) is ``7zzzzzz``; null in, null out.
+
+    The cell numbers of both axes are computed at once and their bits interleaved.
+    """
+    total = 5 * length
+
+    def number(c: Column, half: float, bits: int) -> Column:
+        step = 2 * half / (1 << bits)
+        i = F.ceil((c + half) / step).cast("long") - 1
+        # cell borders are exact doubles: a border belongs to the cell below it
+        i = F.when(c <= i * step - half, i - 1).when(c > (i + 1) * step - half, i + 1).otherwise(i)
+        return F.greatest(F.lit(0), F.least(F.lit((1 << bits) - 1), i))
+
+    east, north = number(lon, 180.0, total - total // 2), number(lat, 90.0, total // 2)
+    chars = []
+    for at in range(length):
+        value = F.lit(0)
+        for p in range(5 * at, 5 * at + 5):
+            axis, bits = (east, total - total // 2) if p % 2 == 0 else (north, total // 2)
+            value = value * 2 + F.shiftright(axis, bits - 1 - p // 2).bitwiseAND(1)
+        chars.append(F.substring(F.lit("0123456789bcdefghjkmnpqrstuvwxyz"), (value + 1).cast("int"), F.lit(1)))
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(*chars))
+
+
+def same_ignoring_accents(a: Column, b: Column) -> Column:
+    """Whether two texts are equal but for accents and case; not if either is null or empty."""
+    return F.coalesce((a != "") & (b != "") & (F.lower(to_ascii(a)) == F.lower(to_ascii(b))), F.lit(False))
+
+
+def with_note(notes: Column, suffix: str) -> Column:
+    """The note with ``suffix`` after a bar, or the suffix alone where there is none."""
+    return F.when(F.coalesce(notes, F.lit("")) == "", F.lit(suffix)).otherwise(F.concat_ws(" | ", notes, F.lit(suffix)))
+
+
+def matchable(c: Column) -> Column:
+    """Lower case without parentheticals and signs other than dashes, blanks collapsed."""
+    bare = F.regexp_replace(F.regexp_replace(F.lower(c), r"\([^)]*\)", ""), r"[^a-z0-9\s\-]", "")
+    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+
+
+#: Sixteen winds, clockwise from north.
+WINDS = "N NNE NE ENE E ESE SE SSE S SSW SW WSW W WNW NW NNW".split()
+
+
+def bearing(wind: Column) -> Column:
+    """Degrees of a wind's name, north for anything else."""
+    return F.coalesce(lookup(F.upper(F.trim(wind)), {w: str(22.5 * i) for i, w in enumerate(WINDS)}).cast("double"), F.lit(0.0))
 
 
 def destination(lat: Column, lon: Column, km: Column, bearing: Column) -> Column:

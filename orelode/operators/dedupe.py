@@ -61,7 +61,7 @@ def fuzzy_pairs(cls: DataFrame) -> DataFrame:
     return pairs.where("reason is not null").select("id_a", "id_b", "reason").unionByName(rest)
 
 
-def star_clusters(cls: DataFrame, most_rounds: int = 100) -> DataFrame:
+def star_clusters(cls: DataFrame, most_rounds: int = 10_000) -> DataFrame:
     """``class_id`` and ``seed``: taken in id order, each class that no earlier seed claims becomes
     a seed and claims its duplicates; members match their seed, not each other.
 
@@ -130,27 +130,131 @@ def without_losers(facility: DataFrame, group: str) -> DataFrame:
     return facility.join(best, "rec_id", "left_semi").unionByName(facility.where(F.col(group).isNull()))
 
 
-def import_matches(new: DataFrame, old: DataFrame) -> DataFrame:
-    """For each new record the existing one it duplicates: by id, else by name at one place, else
-    by alias; within a priority the least rec_id.  Columns rec_id, existing_rec_id, priority."""
+def rarest(keys: DataFrame, id_: list[str], key: str, most: Column, counts: DataFrame) -> DataFrame:
+    """Of every id's distinct ``key`` values the ``most`` rarest ones (an expression over ``n``,
+    their number).  Two sides that are joined on them need the same ``counts``
+    (:func:`frequencies`), so that both agree which are rare.  A list is as long as a name has parts."""
+    lists = keys.join(counts, key).groupBy(*id_).agg(F.array_sort(F.collect_list(F.struct("_f", key))).alias("_l")).withColumn("n", F.size("_l"))
+    return lists.select(*id_, F.explode(F.slice("_l", F.lit(1), most.cast("int"))[key]).alias(key))
+
+
+def frequencies(key: str, *sides: DataFrame) -> DataFrame:
+    """How often each ``key`` occurs on all sides together, as ``_f``."""
+    both = sides[0].select(key)
+    for other in sides[1:]:
+        both = both.unionByName(other.select(key))
+    return both.groupBy(key).agg(F.count("*").alias("_f"))
+
+
+def _name_pairs(new: DataFrame, old: DataFrame, similar: bool) -> DataFrame:
+    """Pairs (country, low, other) of a new and an old name that share more than 0.8 of the words
+    of the shorter one or, with ``similar``, have a similarity above 0.85.
+
+    Words: a name whose words nearly all occur in another shares one of its rarest words with it.
+    Similarity above 0.85 leaves less than 0.15 of both lengths unmatched, so one of the rarest
+    letter pairs of each must be shared.
+    """
+    words = lambda c: F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
+    names = [d.select("country", "low").where("low is not null").distinct() for d in (new, old)]
+    n, o = (d.select("country", "low", F.explode(words(F.col("low"))).alias("w")) for d in names)
+    short = F.ceil(F.col("n") * 0.2)
+    by, counts = ["country", "w"], frequencies("w", n, o)
+    pairs = rarest(n, ["country", "low"], "w", short, counts).join(o.withColumnRenamed("low", "other"), by).select("country", "low", "other")
+    pairs = pairs.unionByName(n.join(rarest(o, ["country", "low"], "w", short, counts).withColumnRenamed("low", "other"), by).select("country", "low", "other")).distinct()
+    found = pairs.where(word_overlap(F.col("low"), F.col("other")) > 0.8)
+    if not similar:
+        return found
+    text = F.concat(F.lit("^"), F.col("low"), F.lit("$"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.substring(text, i, F.lit(2))))
+    n, o = (d.select("country", "low", F.explode(grams).alias("w")) for d in names)
+    kept, counts = F.floor(F.col("n") * 0.71) + 1, frequencies("w", n, o)
+    close = rarest(n, ["country", "low"], "w", kept, counts).join(rarest(o, ["country", "low"], "w", kept, counts).withColumnRenamed("low", "other"), by).select("country", "low", "other").distinct()
+    most = F.least(F.length("low"), F.length("other")) * 2 / (F.length("low") + F.length("other"))
+    return found.unionByName(close.where(most > 0.85).where(seq_ratio("low", "other") > 0.85)).distinct()
+
+
+def import_matches(new: DataFrame, old: DataFrame, similar: bool = True) -> DataFrame:
+    """For each new record the existing one of its country that it duplicates: ``rec_id``,
+    ``existing_rec_id`` and ``priority``, the first that holds of
+
+    0. the same facility_id;
+    1. within 0.01 degrees and names similar (above 0.6) or one in the other, or within 0.1 degrees
+       and very similar (above 0.85) or one in the other;
+    2. the same name, within 0.01 degrees unless one of them has no position (zero counts as none);
+    3. names very similar, or with more than 0.8 of the words of the shorter one;
+    4. a name or alias of one is an alias of the other.
+
+    Case is ignored; within a priority the least rec_id counts.  ``similar=False`` leaves out the
+    similarity of 1 and 3.  Records without a name match by id or alias only.
+    """
     lat, lon = F.col("location.lat"), F.col("location.lon")
-    side = lambda d, p: d.select(F.col("rec_id").alias(f"{p}id"), F.col("facility_id").alias("fid"), F.lower("name").alias("low"), lat.alias(f"{p}lat"), lon.alias(f"{p}lon"), F.transform("aliases", F.lower).alias("al"))
+    lists = lambda c: F.filter(F.coalesce(F.transform(c, F.lower), F.array().cast("array<string>")), lambda a: a.isNotNull() & (a != ""))
+    side = lambda d, p: d.select(F.col("rec_id").alias(f"{p}id"), "facility_id", F.coalesce("country_iso3", F.lit("")).alias("country"), F.lower("name").alias("low"), lat.alias(f"{p}lat"), lon.alias(f"{p}lon"), lists(F.col("aliases")).alias("al"))
     n, o = side(new, "n"), side(old, "o")
-    hit = lambda d, p: d.groupBy("nid").agg(F.min("oid").alias("oid")).withColumn("priority", F.lit(p))
-    by_id = hit(n.join(o.groupBy("fid").agg(F.min("oid").alias("oid")), "fid"), 1)
-    near = (F.abs(F.col("nlat") - F.col("olat")) < 0.01) & (F.abs(F.col("nlon") - F.col("olon")) < 0.01)
-    by_name = hit(n.drop("fid", "al").join(o.drop("fid", "al"), "low").where(near), 2)
-    by_alias = hit(n.select("nid", "low").join(o.select("oid", F.explode("al").alias("low")).where("low <> ''").groupBy("low").agg(F.min("oid").alias("oid")), "low"), 3)
-    both = by_id.unionByName(by_name).unionByName(by_alias)
-    return both.groupBy(F.col("nid").alias("rec_id")).agg(F.min(F.struct("priority", "oid")).alias("b")).select("rec_id", F.col("b.oid").alias("existing_rec_id"), F.col("b.priority").alias("priority"))
-
-
-def disambiguated(df: DataFrame, slug: Column, region: Column, id_: str) -> DataFrame:
-    """``id_`` and its unique slug: the first holder keeps it, later ones get a region suffix, and
-    whoever still collides a short hash of the id."""
-    base = df.select(F.col(id_), slug.alias("slug"), region.alias("region"))
-    first = base.groupBy("slug").agg(F.min(id_).alias("_first"))
-    named = base.join(first, "slug").withColumn("try", F.when(F.col(id_) == F.col("_first"), F.col("slug")).when(F.col("region").isNotNull(), F.concat_ws("-", "slug", "region")).otherwise(F.concat(F.col("slug"), F.lit("-x"))))
-    owner = named.groupBy("try").agg(F.min(id_).alias("_owner"))
+    least = F.min("oid").alias("oid")
+    hit = lambda d, p: d.groupBy("nid").agg(least).withColumn("priority", F.lit(p))
+    by_id = hit(n.select("nid", "facility_id").join(o.groupBy("facility_id").agg(least), "facility_id"), 0)
+
+    # neighbours: equal records collapse first, the old ones stand in their own cell and the eight around
+    def near(size: float, keys: list[str]) -> DataFrame:
+        at = lambda c: F.floor(F.col(c) / size).cast("int")
+        around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+        a = n.where("low is not null").groupBy("country", "low", "nlat", "nlon").agg(F.min("nid").alias("any")).drop("any").withColumns({"ca": at("nlat"), "co": at("nlon")})
+        b = o.where("low is not null").groupBy("country", F.col("low").alias("other"), "olat", "olon").agg(least).withColumn("d", F.explode(around)).withColumns({"ca": at("olat") + F.col("d.i"), "co": at("olon") + F.col("d.j")}).drop("d")
+        if "low" in keys:
+            b = b.withColumn("low", F.col("other"))
+        close = (F.abs(F.col("nlat") - F.col("olat")) < size) & (F.abs(F.col("nlon") - F.col("olon")) < size)
+        return a.join(b, ["country", "ca", "co", *keys]).where(close)
+
+    pairs = near(0.1, [])
+    fits = contains_either(F.col("low"), F.col("other"))
+    if similar:
+        tight = (F.abs(F.col("nlat") - F.col("olat")) < 0.01) & (F.abs(F.col("nlon") - F.col("olon")) < 0.01)
+        pairs = pairs.withColumn("ratio", F.when(~fits, seq_ratio("low", "other")))
+        fits = fits | (F.col("ratio") > 0.85) | (tight & (F.col("ratio") > 0.6))
+    placed = pairs.where(fits).groupBy("country", "low", "nlat", "nlon").agg(least)
+    by_place = hit(n.join(placed, ["country", "low", "nlat", "nlon"]), 1)
+
+    missing = lambda p: F.coalesce((F.col(f"{p}lat") == 0) | (F.col(f"{p}lon") == 0), F.lit(True))
+    named = o.where("low is not null").groupBy("country", "low").agg(least, F.min(F.when(missing("o"), F.col("oid"))).alias("bare"))
+    loose = n.join(named, ["country", "low"]).select("nid", F.when(missing("n"), F.col("oid")).otherwise(F.col("bare")).alias("oid")).where("oid is not null")
+    same = near(0.01, ["low"]).where(~missing("n") & ~missing("o")).groupBy("country", "low", "nlat", "nlon").agg(least)
+    by_name = hit(loose.unionByName(n.join(same, ["country", "low", "nlat", "nlon"]).select("nid", "oid")), 2)
+
+    close = _name_pairs(n, o, similar).join(named.select("country", F.col("low").alias("other"), "oid"), ["country", "other"]).groupBy("country", "low").agg(least)
+    by_words = hit(n.join(close, ["country", "low"]), 3)
+
+    tokens = lambda d: d.select("*", F.explode(F.concat(F.transform("al", lambda a: F.struct(a.alias("t"), F.lit(True).alias("alias"))), F.array(F.struct(F.col("low").alias("t"), F.lit(False).alias("alias"))))).alias("x")).where("x.t <> ''")
+    held = tokens(o).groupBy("country", "x.t").agg(F.min(F.when(F.col("x.alias"), F.col("oid"))).alias("as_alias"), least)
+    own = tokens(n).select("nid", "country", "x.*").join(held, ["country", "t"])
+    by_alias = hit(own.select("nid", F.when(F.col("alias"), F.col("oid")).otherwise(F.col("as_alias")).alias("oid")).where("oid is not null"), 4)
+    every = by_id.unionByName(by_place).unionByName(by_name).unionByName(by_words).unionByName(by_alias)
+    return every.groupBy(F.col("nid").alias("rec_id")).agg(F.min(F.struct("priority", "oid")).alias("b")).select("rec_id", F.col("b.oid").alias("existing_rec_id"), F.col("b.priority").alias("priority"))
+
+
+def disambiguated(df: DataFrame, slug: Column, suffixes: list[Column], id_: str) -> DataFrame:
+    """``id_`` and its ``unique_slug``: of the holders of a slug the least id keeps it; the others
+    try one suffix after the other (region, geohash, ...) until they are the least to claim a slug
+    that nobody holds, and end with a short hash of the id.
+
+    Each step is two aggregations over slugs; nothing is ordered globally.  Blank suffixes are
+    skipped.
+    """
     tail = F.concat(F.lit("-"), F.substring(F.sha2(F.col(id_).cast("string"), 256), 1, 10))
-    return named.join(owner, "try").select(id_, F.when((F.col(id_) == F.col("_owner")) & ~F.col("try").endswith("-x"), F.col("try")).otherwise(F.concat(F.col("slug"), tail)).alias("unique_slug"))
+    open_ = df.select(F.col(id_), slug.alias("slug"), *(s.alias(f"s{i}") for i, s in enumerate(suffixes)))
+    held, tries = None, [F.col("slug"), *(F.when(F.col(f"s{i}") != "", F.concat_ws("-", "slug", f"s{i}")) for i in range(len(suffixes)))]
+    for attempt in tries:
+        claims = open_.withColumn("try", attempt)
+        first = claims.where("try is not null").groupBy("try").agg(F.min(id_).alias(id_))
+        if held is not None:
+            first = first.join(held.select("try"), "try", "left_anti")
+        held = first if held is None else held.unionByName(first)
+        open_ = open_.join(first.select(id_), id_, "left_anti")
+    return held.select(id_, F.col("try").alias("unique_slug")).unionByName(open_.select(id_, F.concat("slug", tail).alias("unique_slug")))
+
+
+def dedupe_summary(facility: DataFrame, group: str) -> DataFrame:
+    """One row: records, groups of two or more, records in them, and how many would be removed."""
+    sizes = facility.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
+    many = sizes.agg(F.count_if(F.col("n") > 1).alias("groups"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("in_groups"))
+    return facility.agg(F.count("*").alias("records")).crossJoin(many).withColumn("removed", F.col("in_groups") - F.col("groups"))

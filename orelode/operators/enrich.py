@@ -57,8 +57,9 @@ def canonical(facility: DataFrame) -> DataFrame:
     first = F.filter("company_mentions", lambda m: (F.lower(m["role"]) == "operator") & (F.trim(m["name"]) != ""))
     base = facility.select(
         "rec_id", F.trim("name").alias("name"), F.coalesce(F.trim("location.town"), F.lit("")).alias("town"), F.coalesce(F.when(F.size(first) > 0, F.trim(F.try_element_at(first, F.lit(1))["name"])), F.lit("")).alias("operator"),
-        core_name(F.col("name")).alias("core"), normalize_type(F.try_element_at("types", F.lit(1))).alias("t"),
+        normalize_type(F.try_element_at("types", F.lit(1))).alias("t"),
     )
+    base = base.withColumn("core", core_name(F.col("name"), F.col("operator")))
     base = base.withColumns({c: F.when(F.lower(c) == F.lower("core"), "").otherwise(F.col(c)) for c in ("town", "operator")})
     parts = F.filter(F.array("town", "operator", "core", humanize_type(F.col("t.type"))), lambda x: x.isNotNull() & (x != ""))
     score = 0.15 * (F.col("town") != "").cast("int") + 0.35 * F.when(F.col("core") != F.col("name"), 0.9).otherwise(0.6) + 0.30 * F.col("t.confidence").cast("double") + 0.20 * (F.col("operator") != "").cast("int")

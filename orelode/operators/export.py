@@ -59,7 +59,7 @@ def mines_rows(facility: DataFrame, country: DataFrame) -> DataFrame:
         "rec_id", confidence_label(F.coalesce("verification.confidence", F.lit(0.5))).alias("confidence_factor"), F.array_join(names, ";").alias("mine_name"),
         F.array_join(F.array_distinct(F.filter(_list(F.col("company_mentions.name")), lambda n: n != "")), ";").alias("company_names"), number(F.col("location.lat")).alias("latitude"), number(F.col("location.lon")).alias("longitude"),
         asset_types(F.col("types")).alias("asset_type"), F.coalesce("country_name", F.lit("")).alias("country_or_region"), F.when(F.size(prime) > 0, F.element_at(prime, 1)).otherwise("").alias("primary_commodity"),
-        F.when(F.size(rest) > 0, F.element_at(rest, 1)).otherwise("").alias("secondary_commodity"), F.array_join(F.slice(rest, 2, 1000), ",").alias("other_commodities"),
+        F.when(F.size(rest) > 0, F.element_at(rest, 1)).otherwise("").alias("secondary_commodity"), F.array_join(F.slice(rest, F.lit(2), F.greatest(F.size(rest), F.lit(1))), ",").alias("other_commodities"),
     )
 
 

@@ -52,6 +52,40 @@ def label_confidence(label: Column) -> Column:
     return out
 
 
+# Adjectives in file names, in the order they are tried.
+DEMONYMS = {
+    "finnish": "Finland", "french": "France", "german": "Germany", "spanish": "Spain", "italian": "Italy", "polish": "Poland", "swedish": "Sweden", "norwegian": "Norway", "danish": "Denmark", "dutch": "Netherlands", "belgian": "Belgium",
+    "austrian": "Austria", "swiss": "Switzerland", "greek": "Greece", "turkish": "Turkey", "russian": "Russia", "chinese": "China", "japanese": "Japan", "korean": "Korea", "indian": "India", "brazilian": "Brazil", "mexican": "Mexico",
+    "canadian": "Canada", "australian": "Australia", "egyptian": "Egypt", "nigerian": "Nigeria", "south african": "South Africa", "argentinian": "Argentina", "chilean": "Chile", "peruvian": "Peru", "colombian": "Colombia",
+}
+
+
+def country_from_file(path: Column) -> Column:
+    """What a file's name says about its country: the country of an adjective in it, else its first
+    word of two letters or more; null if there is none."""
+    base = F.regexp_replace(F.lower(F.element_at(F.split(path, "/"), -1)), r"(?<=.)\.[^.]*$", "")
+    first = F.trim(F.get(F.split(base, r"[_\-\s.]"), F.lit(0)))
+    out = F.when(base.isNull() | base.isin("", "-"), None)
+    for word, country in DEMONYMS.items():
+        out = out.when(base.contains(word), country)
+    return out.otherwise(F.when(F.length(first) >= 2, first))
+
+
+def joined_cells(*cells: Column) -> Column:
+    """Cells of several columns with one meaning, joined by commas; null, "" and "-" do not count."""
+    parts = F.filter(F.array(*(F.trim(c) for c in cells)), lambda x: x.isNotNull() & ~x.isin("", "-"))
+    return F.array_join(parts, ", ")
+
+
+def import_stats(rows: DataFrame) -> DataFrame:
+    """One row: rows read, imported ones, those refused by reason, and with a position."""
+    bad = F.col("error")
+    return rows.agg(
+        F.count("*").alias("read"), F.count_if(bad.isNull()).alias("imported"), F.count_if(bad == "repeated").alias("duplicates"), F.count_if(bad.isNotNull() & (bad != "repeated")).alias("errors"),
+        F.count_if(bad.isNull() & F.col("location.lat").isNotNull() & F.col("location.lon").isNotNull()).alias("with_position"),
+    )
+
+
 def typed_rows(cells: DataFrame, country: str) -> DataFrame:
     """Facility rows of report cells (doc_id, format, table_no, row_no, header, value); rows whose
     name is none carry an ``error`` instead of being dropped, the first of equal ids counts."""

@@ -74,24 +74,31 @@ def _within(lat: Column, lon: Column, b: list[Column]) -> Column:
     return lat.between(b[0], b[1]) & lon.between(b[2], b[3])
 
 
-def in_bounds(lat: Column, lon: Column, country: Column, antimeridian: bool = False) -> Column:
+def in_bounds(lat: Column, lon: Column, country: Column, antimeridian: bool = False, boxes: dict = fixed.BBOX) -> Column:
     """Whether a point is in its country's box; without a box it is.  With ``antimeridian`` boxes
     whose east edge is below their west edge wrap around."""
-    b = _bounds(country, fixed.BBOX)
+    b = _bounds(country, boxes)
     plain = _within(lat, lon, b)
     if antimeridian:
         plain = F.when(b[2] > b[3], lat.between(b[0], b[1]) & ((lon >= b[2]) | (lon <= b[3]))).otherwise(plain)
     return b[0].isNull() | plain
 
 
-def bbox_check(lat: Column, lon: Column, country: Column) -> Column:
-    """The first failing check of a position, null if none fails."""
+def bbox_checks(lat: Column, lon: Column, country: Column) -> Column:
+    """array<string> of the failing checks of a position: a missing or invalid one fails no other,
+    one outside of its country's box may be too round as well."""
     inside = in_bounds(lat, lon, country)
     whole = (lat == F.floor(lat)) & (lon == F.floor(lon))
-    return (
-        F.when(lat.isNull() | lon.isNull(), "missing_coordinates").when((F.abs(lat) > 90) | (F.abs(lon) > 180), "invalid_range")
-        .when(~inside & in_bounds(lon, lat, country), "latlon_swap").when(~inside, "out_of_bounds").when(whole, "suspicious_precision")
-    )
+    foreign = F.when(~inside & in_bounds(lon, lat, country), "latlon_swap").when(~inside, "out_of_bounds")
+    rest = F.filter(F.array(foreign, F.when(whole, "suspicious_precision")), lambda x: x.isNotNull())
+    return F.when(lat.isNull() | lon.isNull(), F.array(F.lit("missing_coordinates"))).when((F.abs(lat) > 90) | (F.abs(lon) > 180), F.array(F.lit("invalid_range"))).otherwise(rest)
+
+
+def swapped_back(facility: DataFrame) -> DataFrame:
+    """``rec_id``, ``lat``, ``lon``, ``fixed``: latitude and longitude changed over where the check
+    says so."""
+    swap = F.array_contains(bbox_checks(lat(), lon(), F.col("country_iso3")), "latlon_swap")
+    return facility.select("rec_id", F.when(swap, lon()).otherwise(lat()).alias("lat"), F.when(swap, lat()).otherwise(lon()).alias("lon"), swap.alias("fixed"))
 
 
 def coordinate_issues(facility_id: Column, country: Column, lat: Column, lon: Column) -> Column:
@@ -123,9 +130,10 @@ def fixed_coordinates(facility: DataFrame) -> DataFrame:
 
 
 def write_gate(lat: Column, lon: Column, country: Column) -> Column:
-    """Whether a new position may be written: sentinel, invalid and foreign ones may not."""
+    """Whether a new position may be written: sentinel, invalid and foreign ones may not; countries
+    without a box of their own for writing pass."""
     sentinel = (F.round(lat, 7) == fixed.SENTINEL[0]) & (F.round(lon, 7) == fixed.SENTINEL[1])
-    return F.when(lat.isNull() | lon.isNull(), "missing").when(sentinel, "sentinel").when((F.abs(lat) > 90) | (F.abs(lon) > 180), "invalid").when(~in_bounds(lat, lon, country), "out_of_bbox").otherwise("accept")
+    return F.when(lat.isNull() | lon.isNull(), "missing").when(sentinel, "sentinel").when((F.abs(lat) > 90) | (F.abs(lon) > 180), "invalid").when(~in_bounds(lat, lon, country, boxes=fixed.WRITE_BBOX), "out_of_bbox").otherwise("accept")
 
 
 def confidence_bucket(c: Column) -> Column:

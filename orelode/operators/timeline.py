@@ -45,7 +45,7 @@ def routed(facility: DataFrame, measurable: DataFrame, id_: str = "rec_id") -> D
     """``id_``, ``json_id``: questions whose tags fit a facility.  Tags of one namespace are
     alternatives, namespaces must all fit, ``facility:all`` fits any, unknown namespaces do not bind.
 
-    Facilities with equal features are matched once.  Features and tags meet as tokens by
+    Records with equal features are matched once.  Features and tags meet as tokens by
     equality, and a question fits if a token of each of its namespaces was met.
     """
     tags = measurable.select("json_id", F.explode("applicability_tags").alias("tag")).select("json_id", F.substring_index("tag", ":", 1).alias("ns"), F.substring_index("tag", ":", -1).alias("value"))
@@ -65,7 +65,7 @@ def routed(facility: DataFrame, measurable: DataFrame, id_: str = "rec_id") -> D
 
 def run_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("run_id").agg(
-        F.count("*").alias("attempted"), F.count_if(F.coalesce("accepted", F.lit(False))).alias("accepted"), F.count_if(F.coalesce("provisional", F.lit(False))).alias("provisional"), F.round(F.avg("freshness_days"), 4).alias("avg_freshness"), F.countDistinct("facility_key").alias("facilities")
+        F.count("*").alias("attempted"), F.count_if(F.coalesce("accepted", F.lit(False))).alias("accepted"), F.count_if(F.coalesce("provisional", F.lit(False))).alias("provisional"), F.round(F.avg("freshness_days"), 4).alias("avg_freshness"), F.countDistinct("facility_key").alias("sites")
     )
 
 

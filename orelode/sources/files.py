@@ -83,7 +83,7 @@ def knowledge_items(bindings: DataFrame) -> DataFrame:
     """Query bindings (qid, label, coord, alias, commodity) grouped to items: the first label and
     position, the distinct aliases and commodities."""
     rows = bindings.withColumn("p", wkt_point(F.col("coord")))
-    return rows.groupBy("qid").agg(F.min("label").alias("label"), F.min("p.lat").alias("lat"), F.min("p.lon").alias("lon"), F.array_sort(F.collect_set("alias")).alias("aliases"), F.array_sort(F.collect_set("commodity")).alias("commodities"))
+    return rows.groupBy("qid").agg(F.min("label").alias("label"), F.min("p").alias("p"), F.array_sort(F.collect_set("alias")).alias("aliases"), F.array_sort(F.collect_set("commodity")).alias("commodities")).select("qid", "label", "p.lat", "p.lon", "aliases", "commodities")
 
 
 def cached(keys: DataFrame, cache: DataFrame, now: Column, ttl_days: int = 365) -> DataFrame:

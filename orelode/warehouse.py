@@ -48,7 +48,7 @@ def freshness_filter(spark, d):
     return r.groupBy("json_id").agg(F.count("*").alias("results"), F.count_if(F.col("freshness_days") <= F.col("requery_min_days")).alias("fresh"), F.count_if(F.col("confidence") >= 70).alias("confident"))
 
 
-@query("""SELECT run_id, count(*) AS attempted, count(*) FILTER (WHERE accepted) AS accepted, count(*) FILTER (WHERE provisional) AS provisional, round(avg(freshness_days), 4) AS avg_freshness, count(DISTINCT facility_key) AS facilities FROM measurable_result GROUP BY run_id""")
+@query("""SELECT run_id, count(*) AS attempted, count(*) FILTER (WHERE accepted) AS accepted, count(*) FILTER (WHERE provisional) AS provisional, round(avg(freshness_days), 4) AS avg_freshness, count(DISTINCT facility_key) AS sites FROM measurable_result GROUP BY run_id""")
 def run_summary(spark, d):
     return timeline.run_summary(table(spark, d, "measurable_result"))
 
@@ -58,10 +58,10 @@ def orphans_anti(spark, d):
     return timeline.orphans(table(spark, d, "measurable_result"), "facility_key", table(spark, d, "facility"), "facility_id")
 
 
-@query("SELECT count(*) AS relationships, count(DISTINCT facility_id) AS facilities FROM facility_company_relationships WHERE facility_id IN (SELECT facility_id FROM facility)")
+@query("SELECT count(*) AS relationships, count(DISTINCT facility_id) AS sites FROM facility_company_relationships WHERE facility_id IN (SELECT facility_id FROM facility)")
 def exists_semi(spark, d):
     rel = table(spark, d, "facility_company_relationships").join(table(spark, d, "facility").select("facility_id").distinct(), "facility_id", "left_semi")
-    return rel.agg(F.count("*").alias("relationships"), F.countDistinct("facility_id").alias("facilities"))
+    return rel.agg(F.count("*").alias("relationships"), F.countDistinct("facility_id").alias("sites"))
 
 
 @query("SELECT r.relationship_id, f.n AS facility_rows FROM (SELECT DISTINCT relationship_id, facility_id FROM facility_company_relationships) r JOIN (SELECT facility_id, count(*) AS n FROM facility GROUP BY 1) f ON r.facility_id = f.facility_id")
@@ -131,11 +131,6 @@ def name_history(spark, d):
     return timeline.changes(table(spark, d, "facility"), "facility_id", "name", ["loaded_at", "rec_id"]).select("facility_id", "rec_id", F.col("value").alias("name"), "previous")
 
 
-@query("""SELECT facility_id, max(name) FILTER (WHERE facility_id IS NOT NULL) AS name, count(*) AS n, count(DISTINCT country_iso3) AS countries, bool_or(len(types) > 0) AS typed FROM facility GROUP BY facility_id""")
-def sync_rows(spark, d):
-    return table(spark, d, "facility").groupBy("facility_id").agg(F.max(F.when(F.col("facility_id").isNotNull(), F.col("name"))).alias("name"), F.count("*").alias("n"), F.countDistinct("country_iso3").alias("countries"), F.bool_or(F.size("types") > 0).alias("typed"))
-
-
 @query("""SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 2) AS total FROM events GROUP BY event_type""")
 def events_by_type(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.round(F.sum("value"), 2).alias("total"))

@@ -78,17 +78,59 @@ def test_star_clusters_match_the_sequential_greedy(spark):
     assert got == want
 
 
+IMPORT = FACILITY + ", country_iso3 string"
+
+
 def test_import_priorities(spark):
-    new = spark.createDataFrame([(10, "a", "Alpha", [], (1.0, 1.0)), (11, "n1", "Beta", [], (2.0, 2.0)), (12, "n2", "Gamma", None, (None, None)), (13, "n3", "Delta", [], (2.0, 9.0))], FACILITY)
-    old = spark.createDataFrame([(1, "a", "Other", [], (9.0, 9.0)), (2, "b", "BETA", [], (2.001, 2.0)), (3, "c", "Third", ["gamma"], (None, None)), (4, "d", "Delta", [], (2.0, 2.0))], FACILITY)
-    got = {r["rec_id"]: (r["existing_rec_id"], r["priority"]) for r in dedupe.import_matches(new, old).collect()}
-    assert got == {10: (1, 1), 11: (2, 2), 12: (3, 3)}
+    new = [
+        (10, "a", "Alpha", [], (1.0, 1.0)), (11, "n1", "Beta", [], (2.0, 2.0)), (12, "n2", "Gamma", None, (None, None)), (13, "n3", "Delta Rock", [], (2.0, 9.0)), (14, "n4", "Two Rivers", [], (5.05, 5.0)), (15, "n5", "Epsilon", [], (0.0, 0.0)),
+        (16, "n6", "North Vasti Mine", [], (None, None)), (17, "n7", "Zeta", ["Old Zeta", None, ""], (None, None)), (18, "n8", None, None, None), (19, "n9", "Kochubahe", [], (None, None)), (20, "n10", "Unrelated", [], (40.0, 8.0)),
+    ]
+    old = [
+        (1, "a", "Other", [], (9.0, 9.0)), (2, "b", "BETA", [], (2.001, 2.0)), (3, "c", "Third", ["gamma"], (None, None)), (4, "d", "Delta", [], (2.0, 2.0)), (5, "e", "Two Rivers Platinum Mine", [], (5.0, 5.0)), (6, "f", "epsilon", [], (7.0, 7.0)),
+        (7, "g", "Vasti Mine", [], (9.0, 9.0)), (8, "h", "Quorn", ["old zeta"], (None, None)), (9, None, None, None, None), (21, "k", "Kochubahi", [], (50.0, 50.0)),
+    ]
+    df = lambda rows: spark.createDataFrame([(*r, "DZA") for r in rows], IMPORT).selectExpr("*", "1 AS priority", "'x' AS low")
+    got = {r["rec_id"]: (r["existing_rec_id"], r["priority"]) for r in dedupe.import_matches(df(new), df(old)).collect()}
+    assert got == {10: (1, 0), 11: (2, 1), 12: (3, 4), 13: (4, 3), 14: (5, 1), 15: (6, 2), 16: (7, 3), 17: (8, 4), 19: (21, 3)}
+    native = {r["rec_id"] for r in dedupe.import_matches(df(new), df(old), similar=False).collect()}
+    assert native == set(got) - {19}
+    assert dedupe.import_matches(df(new), df(old).limit(0)).count() == 0
+
+
+def test_import_against_brute_force(spark):
+    import difflib
+    import random
+
+    rng = random.Random(4)
+    words = "vasti mine north kochu bahe rivers old pit".split()
+    make = lambda n, at: [(at + i, f"f{at + i}", " ".join(rng.sample(words, rng.randint(1, 3))) + rng.choice(["", "x", "s"]), [], (round(rng.uniform(0, 0.4), 3), round(rng.uniform(0, 0.4), 3)) if rng.random() < 0.7 else (None, None)) for i in range(n)]
+    new, old = make(40, 100), make(60, 0)
+
+    def hit(a, b):
+        (x, (p, q)), (y, (r, s)) = (a[2], a[4]), (b[2], b[4])
+        ratio, inside = difflib.SequenceMatcher(None, x, y).ratio(), x in y or y in x
+        both = None not in (p, q, r, s)
+        near = max(abs(p - r), abs(q - s)) if both else 9
+        u, v = set(x.split()), set(y.split())
+        rules = (near < 0.01 and (ratio > 0.6 or inside) or near < 0.1 and (ratio > 0.85 or inside), x == y and (near < 0.01 or not all((p, q, r, s))), ratio > 0.85 or len(u & v) / min(len(u), len(v)) > 0.8)
+        return next((i + 1 for i, r in enumerate(rules) if r), None)
+
+    want = {}
+    for a in new:
+        found = [(k, b[0]) for b in old if (k := hit(a, b))]
+        if found:
+            want[a[0]] = min(found)
+    df = lambda rows: spark.createDataFrame([(*r, "DZA") for r in rows], IMPORT)
+    assert {r["rec_id"]: (r["priority"], r["existing_rec_id"]) for r in dedupe.import_matches(df(new), df(old)).collect()} == want
 
 
 def test_slugs_become_unique(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "a", "x"), (4, "a", None), (5, "a-x", None), (6, "b", None)], "id long, s string, r string")
-    got = [r["unique_slug"] for r in dedupe.disambiguated(df, F.col("s"), F.col("r"), "id").collect()]
-    assert len(got) == len(set(got)) == 6 and "a" in got and "b" in got
+    got = {r["id"]: r["unique_slug"] for r in dedupe.disambiguated(df, F.col("s"), [F.col("r")], "id").collect()}
+    assert (got[1], got[5], got[6]) == ("a", "a-x", "b") and len(set(got.values())) == 6
+    hashed = {r["id"]: r["unique_slug"] for r in dedupe.disambiguated(df, F.col("s"), [F.col("r"), F.lit("7zzz")], "id").collect()}
+    assert hashed[2] == "a-7zzz" and len(set(hashed.values())) == 6
 
 
 def test_changes_over_partition_borders(spark):
@@ -107,8 +149,10 @@ def test_changes_over_partition_borders(spark):
 
 
 def test_bounds(spark):
-    f = lambda a, o, c: one(spark, quality.bbox_check(F.lit(a), F.lit(o), F.lit(c)))
-    assert [f(-25.5, 28.3, "ZAF"), f(28.3, -25.5, "ZAF"), f(60.5, 100.5, "RUS"), f(-25.0, 28.0, "ZAF"), f(95.0, 1.0, "ZAF")] == [None, "latlon_swap", "out_of_bounds", "suspicious_precision", "invalid_range"]
+    f = lambda a, o, c: one(spark, quality.bbox_checks(F.lit(a), F.lit(o), F.lit(c)))
+    assert [f(-25.5, 28.3, "ZAF"), f(28.3, -25.5, "ZAF"), f(60.5, 100.5, "RUS"), f(-25.0, 28.0, "ZAF"), f(95.0, 1.0, "ZAF")] == [[], ["latlon_swap"], ["out_of_bounds"], ["suspicious_precision"], ["invalid_range"]]
+    assert f(28.0, -25.0, "ZAF") == ["latlon_swap", "suspicious_precision"] and f(1.5, 1.5, "ARG") == ["out_of_bounds"]
+    assert one(spark, quality.write_gate(F.lit(1.5), F.lit(1.5), F.lit("ARG"))) == "accept"
     assert one(spark, quality.in_bounds(F.lit(60.5), F.lit(100.5), F.lit("RUS"), antimeridian=True))
 
 
