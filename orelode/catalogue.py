@@ -465,7 +465,12 @@ def dedupe_summary(spark, d):
     return dedupe.dedupe_summary(_facility(spark, d), "facility_id")
 
 
-@query()
+@query("""WITH f AS (SELECT rec_id, country_iso3 AS k, location.lat AS a, location.lon AS o FROM facility WHERE abs(location.lat) <= 90 AND abs(location.lon) <= 180 AND NOT (location.lat = 0 AND location.lon = 0)),
+ r AS (SELECT district_id, country_iso3 AS k, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS ring FROM mining_district), p AS (SELECT district_id, k, list_transform(string_split(ring, ','), lambda s: [CAST(split_part(trim(s), ' ', 1) AS DOUBLE), CAST(split_part(trim(s), ' ', 2) AS DOUBLE)]) AS l FROM r),
+ i AS (SELECT district_id, k, l, unnest(range(1, len(l))) AS i FROM p), e AS (SELECT district_id, k, l[i][1] AS x1, l[i][2] AS y1, l[i + 1][1] - l[i][1] AS vx, l[i + 1][2] - l[i][2] AS vy FROM i),
+ t AS (SELECT rec_id, district_id, o, a, x1, y1, vx, vy, greatest(0, least(1, ((o - x1) * vx + (a - y1) * vy) / greatest(vx * vx + vy * vy, 1e-18))) AS t, (y1 > a) <> (y1 + vy > a) AND o < vx * (a - y1) / vy + x1 AS crossed FROM f JOIN e USING (k)),
+ d AS (SELECT rec_id, district_id, CASE WHEN count(*) FILTER (WHERE crossed) % 2 = 1 THEN 0 ELSE min(sqrt(pow(x1 + t * vx - o, 2) + pow(y1 + t * vy - a, 2))) END AS deg FROM t GROUP BY 1, 2)
+ SELECT rec_id, arg_min(district_id, (round(deg, 9), district_id)) AS region_id, round(min(deg) * 111.0, 6) AS km FROM d GROUP BY 1""")
 def nearest_district(spark, d):
     f = _facility(spark, d).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
-    return spatial.nearest_regions(f, "rec_id", "lat", "lon", "country_iso3", table(spark, d, "mining_district"), "district_id", "wkt", "country_iso3")
+    return spatial.nearest_regions(f, "rec_id", "lat", "lon", "country_iso3", table(spark, d, "mining_district"), "district_id", "wkt", "country_iso3").withColumn("km", F.round("km", 6))

@@ -66,4 +66,18 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_flagged": p7_flagged,
 }
-ORACLES: dict[str, str] = {}
+# Point in polygon by crossings of the edges of all rings, which leaves out holes by itself.
+SURROUNDINGS = """WITH n AS (SELECT k, min(iso3) AS meant FROM (SELECT lower(trim(iso3)) AS k, iso3 FROM country_ref UNION ALL SELECT lower(trim(iso2)), iso3 FROM country_ref UNION ALL SELECT lower(trim(country_name)), iso3 FROM country_ref) WHERE k <> '' GROUP BY 1),
+ f AS (SELECT rec_id, country_iso3, location.lat AS a, location.lon AS o, meant FROM facility LEFT JOIN n ON lower(trim(country_iso3)) = k WHERE abs(location.lat) <= 90 AND abs(location.lon) <= 180 AND NOT (location.lat = 0 AND location.lon = 0)),
+ r AS (SELECT district_id, country_iso3 AS home, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS ring FROM mining_district),
+ p AS (SELECT district_id, home, list_transform(string_split(ring, ','), lambda s: [CAST(split_part(trim(s), ' ', 1) AS DOUBLE), CAST(split_part(trim(s), ' ', 2) AS DOUBLE)]) AS l FROM r),
+ i AS (SELECT district_id, home, l, unnest(range(1, len(l))) AS i FROM p), e AS (SELECT district_id, home, l[i][1] AS x1, l[i][2] AS y1, l[i + 1][1] AS x2, l[i + 1][2] AS y2 FROM i),
+ c AS (SELECT rec_id, district_id, home, meant, count(*) AS k FROM f JOIN e ON (y1 > a) <> (y2 > a) AND o < (x2 - x1) * (a - y1) / (y2 - y1) + x1 GROUP BY ALL),
+ s AS (SELECT rec_id, 'place' AS kind, place_id AS target_id FROM f JOIN place q ON 2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(q.lat - a) / 2), 2) + cos(radians(a)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - o) / 2), 2)))) <= 25
+  UNION ALL SELECT rec_id, CASE WHEN coalesce(home = meant, false) THEN 'district_home' ELSE 'district_abroad' END, district_id FROM c WHERE k % 2 = 1)
+"""
+ORACLES: dict[str, str] = {
+    "p6_found": SURROUNDINGS + "SELECT * FROM s",
+    "p6_places_per_country": SURROUNDINGS + """, g AS (SELECT rec_id, count(*) FILTER (WHERE kind = 'place') AS places, max(CAST(kind <> 'place' AS INTEGER)) AS inside FROM s GROUP BY 1)
+ SELECT country_iso3, count(*) AS records, CAST(coalesce(sum(places), 0) AS BIGINT) AS places, CAST(coalesce(sum(inside), 0) AS BIGINT) AS in_district FROM facility LEFT JOIN g USING (rec_id) GROUP BY 1""",
+}

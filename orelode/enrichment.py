@@ -164,7 +164,7 @@ def first_holder_map(spark, d):
     return rows.groupBy("slug_key").agg(F.min("facility_id").alias("first_id"), F.countDistinct("facility_id").alias("holders"))
 
 
-@query()
+@query("SELECT relationship_id, facility_id, row_number() OVER () + 1 AS row_no FROM facility_company_relationships")
 def numbered_rows(spark, d):
     """Physical row numbers of the relationship listing, from 2."""
     return ingest.numbered(table(spark, d, "facility_company_relationships").select("relationship_id", "facility_id"))

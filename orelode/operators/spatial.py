@@ -178,17 +178,22 @@ def match_boxes(points: DataFrame, id_: str, lat: str, lon: str, boxes: DataFram
     strip = lambda c: F.floor((c + 90) / STRIP_DEG).cast("int")
     pts = points.where(usable(F.col(lat), F.col(lon)) & F.col(id_).isNotNull()).select(F.col(id_).cast("bigint").alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
     pts = pts.withColumn("strip", strip(F.col("lat")))
-    # at most 180 / STRIP_DEG + 1 rows, whatever the input
-    hot = pts.groupBy("strip").agg(F.ceil(F.count("*") / per_task).cast("int").alias("parts"))
+    reach = F.explode(F.sequence(strip(F.greatest(F.col("lat_lo"), F.lit(-90.0))), strip(F.least(F.col("lat_hi"), F.lit(90.0)))))
+    placed = boxes.select("*", reach.alias("strip"))
+    # a strip dense in points is split by points, one dense in boxes by boxes, and one dense in both
+    # by both: points go to every part of the boxes and boxes to every part of the points.  The
+    # table has at most 180 / STRIP_DEG + 1 rows, whatever the input
+    parts = lambda d, name: d.groupBy("strip").agg(F.ceil(F.count("*") / per_task).cast("int").alias(name))
+    hot = parts(pts, "parts").join(parts(placed, "box_parts"), "strip")
     none = lambda kind: F.lit(None).cast(kind)
-    left = pts.join(F.broadcast(hot), "strip").select(
-        "strip", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("salt"), F.col("lon").alias("ord"), F.lit(True).alias("point"), "id", "lat", "lon",
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    left = pts.join(F.broadcast(hot), "strip").select("*", every("box_parts").alias("b")).select(
+        "strip", (own("parts") * F.col("box_parts") + F.col("b")).alias("salt"), F.col("lon").alias("ord"), F.lit(True).alias("point"), "id", "lat", "lon",
         none("double").alias("lat_lo"), none("double").alias("lat_hi"), none("double").alias("ord_hi"), none("string").alias("shape"), none("string").alias("label"),
     )
-    reach = F.explode(F.sequence(strip(F.greatest(F.col("lat_lo"), F.lit(-90.0))), strip(F.least(F.col("lat_hi"), F.lit(90.0)))))
-    right = boxes.select("*", reach.alias("strip")).join(F.broadcast(hot), "strip")
-    right = right.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")).select(
-        "strip", "salt", F.col("lo").alias("ord"), F.lit(False).alias("point"), "id", "lat", "lon", "lat_lo", "lat_hi", F.col("hi").alias("ord_hi"), "shape",
+    right = placed.join(F.broadcast(hot), "strip").select("*", every("parts").alias("p")).select(
+        "strip", (F.col("p") * F.col("box_parts") + own("box_parts")).alias("salt"), F.col("lo").alias("ord"), F.lit(False).alias("point"), "id", "lat", "lon", "lat_lo", "lat_hi", F.col("hi").alias("ord_hi"), "shape",
         F.concat(F.lit(f"{km!r}\t"), F.coalesce("label", F.lit(""))).alias("label"),
     )
     events = left.unionByName(right).repartition("strip", "salt").sortWithinPartitions("strip", "salt", "ord", "point")
@@ -221,9 +226,13 @@ def surroundings(facility: DataFrame, place: DataFrame, district: DataFrame, cou
     return near.unionByName(held)
 
 
-def nearest_regions(points: DataFrame, id_: str, lat: str, lon: str, key: str, polygons: DataFrame, region_id: str, wkt: str, region_key: str, most: int = 20_000) -> DataFrame:
+def nearest_regions(points: DataFrame, id_: str, lat: str, lon: str, key: str, polygons: DataFrame, region_id: str, wkt: str, region_key: str, most: int = 20_000, most_bytes: int = 64 << 20) -> DataFrame:
     """``id_``, ``region_id`` and ``km`` (planar degrees x 111, 0 inside) of the nearest polygon with
-    the point's ``key``, among at most ``most`` polygons; unusable points give no row."""
+    the point's ``key``, among at most ``most`` polygons of ``most_bytes`` together; unusable points
+    give no row.  Polygons whose box is farther than the best so far are not measured."""
+    size = polygons.agg(F.coalesce(F.sum(F.octet_length(wkt)), F.lit(0)).alias("n")).first()["n"]
+    if size > most_bytes:
+        raise ValueError(f"the polygons have more than {most_bytes} bytes")
     rows = polygons.where(F.col(wkt).isNotNull()).select(F.col(region_id).cast("bigint"), F.col(region_key), F.col(wkt)).limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} polygons")
@@ -240,9 +249,16 @@ def nearest_regions(points: DataFrame, id_: str, lat: str, lon: str, key: str, p
             for k in set(keys) & set(known):
                 at = np.flatnonzero([x == k for x in keys])
                 if k not in shapes:
-                    shapes[k] = [(i, rings(w)) for i, w in known[k]]
-                best, who = np.full(len(at), np.inf), np.zeros(len(at), np.int64)
-                for i, shape in shapes[k]:
+                    parsed = [(i, rings(w)) for i, w in known[k]]
+                    shapes[k] = [(i, shape, np.concatenate(shape).min(0), np.concatenate(shape).max(0)) for i, shape in parsed if shape]
+                every, best, who = at, np.full(len(at), np.inf), np.zeros(len(at), np.int64)
+                spots = np.stack([o[every], a[every]], 1)
+                for i, shape, low, high in shapes[k]:
+                    least = np.sqrt((np.maximum(np.maximum(low - spots, spots - high), 0) ** 2).sum(1))
+                    todo = np.flatnonzero(least <= best)
+                    if not len(todo):
+                        continue
+                    at = every[todo]
                     d = np.full(len(at), np.inf)
                     for ring in shape:
                         p, q = ring[:-1], ring[1:]
@@ -252,9 +268,9 @@ def nearest_regions(points: DataFrame, id_: str, lat: str, lon: str, key: str, p
                             t = np.clip(((xy - p) * v).sum(2) / np.maximum((v**2).sum(1), 1e-18), 0, 1)
                             d[s : s + 2048] = np.minimum(d[s : s + 2048], np.sqrt(((p + t[..., None] * v - xy) ** 2).sum(2)).min(1))
                     d = np.where(inside(o[at], a[at], shape), 0, d)
-                    closer = (d < best) | ((d == best) & (i < who))
-                    best, who = np.where(closer, d, best), np.where(closer, i, who)
-                out += [{"id": ids[j], "region_id": int(w), "km": float(x) * 111.0} for j, w, x in zip(at, who, best)]
+                    closer = (d < best[todo]) | ((d == best[todo]) & (i < who[todo]))
+                    best[todo], who[todo] = np.where(closer, d, best[todo]), np.where(closer, i, who[todo])
+                out += [{"id": ids[j], "region_id": int(w), "km": float(x) * 111.0} for j, w, x in zip(every, who, best) if np.isfinite(x)]
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("id", pa.int64()), ("region_id", pa.int64()), ("km", pa.float64())]))
 
     pts = points.where(usable(F.col(lat), F.col(lon))).select(F.col(id_).cast("bigint").alias("id"), F.col(key).alias("k"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))

@@ -336,7 +336,15 @@ def bbox_fix_apply(spark, d):
     return quality.swapped_back(_facility(spark, d))
 
 
-@query()
+_NONE = "location.lat IS NULL OR location.lon IS NULL"
+
+
+@query(f"""WITH f AS (SELECT facility_id AS id, country_iso3 AS c, location.lat AS a, location.lon AS o, {_box(fixed.FIX_BOUNDS, 'location.lat', 'location.lon')} AS ins, {_box(fixed.FIX_BOUNDS, 'location.lon', 'location.lat')} AS swp FROM facility WHERE NOT ({_NONE})),
+ k AS (SELECT *, coalesce(id IN {_in(fixed.KNOWN_DELETES)}, false) AS gone, coalesce(id IN {_in(fixed.KNOWN_FIXES)}, false) AS known, a = 0 AND o = 0 AS zero FROM f), u AS (SELECT * FROM k WHERE NOT gone AND NOT known AND NOT zero),
+ x AS (SELECT 'duplicate_to_delete' AS issue, true AS fixable FROM k WHERE gone UNION ALL SELECT 'known_fix', true FROM k WHERE known AND NOT gone UNION ALL SELECT 'null_island', false FROM k WHERE zero AND NOT gone AND NOT known
+  UNION ALL SELECT 'wrong_hemisphere', true FROM u WHERE c IN {_in(fixed.NORTHERN)} AND a < 0 UNION ALL SELECT 'truncated_longitude', false FROM u WHERE NOT coalesce(c IN {_in(fixed.LON_NEAR_1)}, false) AND o BETWEEN 0.5 AND 1.5
+  UNION ALL SELECT CASE WHEN swp THEN 'swapped' ELSE 'out_of_bounds' END, false FROM u WHERE NOT ins)
+ SELECT issue, count(*) AS found, count(*) FILTER (WHERE fixable) AS fixable FROM x GROUP BY 1""")
 def fix_summary(spark, d):
     return reporting.fix_summary(_facility(spark, d))
 
