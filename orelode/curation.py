@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _p2_table(kind: str):
     def query(spark: SparkSession, d: str) -> DataFrame:
-        nodes = nested.flatten_documents(table(spark, d, "facility_raw").select("raw_id", "body"), "raw_id", "body", payload=True)
+        nodes = nested.flatten_documents(table(spark, d, "facility_raw").select("raw_id", "body"), "raw_id", "body", payload=True, kind=kind)
         return nested.child_table(nodes, "raw_id", kind, P2_FIELDS[kind])
 
     return query

@@ -59,27 +59,33 @@ def _elements(text: Column) -> Column:
     return F.filter(found, lambda e: e["text"].isNotNull())
 
 
-def _nested(text: Column, name: str, inner: dict, payload: bool) -> Column:
-    """The list in ``text`` in the one Arrow shape: array<struct<pos, text, inner...>>."""
+def branch(tree: dict, kind: str) -> dict:
+    """The part of ``tree`` that leads to ``kind``, without what is nested below it."""
+    return {name: {} if name == kind else branch(inner, kind) for name, inner in tree.items() if name == kind or branch(inner, kind)}
+
+
+def _nested(text: Column, name: str, inner: dict, payload: bool, kind: str | None = None) -> Column:
+    """The list in ``text`` in the one Arrow shape: array<struct<pos, text, inner...>>; the texts of
+    other kinds than ``kind`` are not kept."""
     found = _let(F.trim(text), _elements)
     if name in SINGLE:
         found = F.slice(found, 1, 1)
 
     def element(e: Column) -> Column:
-        kept = (e["text"] if payload else F.lit(None).cast("string")).alias("text")
+        kept = (e["text"] if payload and kind in (None, name) else F.lit(None).cast("string")).alias("text")
         if not inner:
             return F.struct(e["pos"].alias("pos"), kept)
         parts = F.from_json(e["text"], ", ".join(f"{k} string" for k in inner))
         return F.struct(
             e["pos"].alias("pos"),
             kept,
-            _let(parts, lambda p: F.struct(*(_nested(p[k], k, sub, payload).alias(k) for k, sub in inner.items()))).alias("inner"),
+            _let(parts, lambda p: F.struct(*(_nested(p[k], k, sub, payload, kind).alias(k) for k, sub in inner.items()))).alias("inner"),
         )
 
     return F.transform(found, element)
 
 
-def _flatten(tree: dict, payload: bool):
+def _flatten(tree: dict, payload: bool, kind: str | None = None):
     def emit(key, path, lists, name, inner, out) -> None:
         owner = pc.list_parent_indices(lists)
         child = pc.list_flatten(lists)
@@ -93,7 +99,8 @@ def _flatten(tree: dict, payload: bool):
         cols = [keys, parents, dotted]
         if payload:
             cols += [pa.array([name] * len(child), pa.string()), pc.struct_field(child, "text")]
-        out.append(pa.RecordBatch.from_arrays(cols, names=["key", "parent_node", "node", "kind", "text"][: len(cols)]))
+        if kind in (None, name):
+            out.append(pa.RecordBatch.from_arrays(cols, names=["key", "parent_node", "node", "kind", "text"][: len(cols)]))
         if inner:
             within = pc.struct_field(child, "inner")
             for sub, deeper in inner.items():
@@ -111,13 +118,15 @@ def _flatten(tree: dict, payload: bool):
     return run
 
 
-def flatten_documents(df: DataFrame, key: str, body: str, payload: bool = False, tree: dict = TREE) -> DataFrame:
+def flatten_documents(df: DataFrame, key: str, body: str, payload: bool = False, tree: dict = TREE, kind: str | None = None) -> DataFrame:
     """One row per non-null nested element: ``key``, ``parent_node``, ``node`` (and, with
-    ``payload``, its ``kind`` and its own JSON ``text``).
+    ``payload``, its ``kind`` and its own JSON ``text``).  With ``kind`` only elements of that kind
+    come out, and only the lists that lead to them are read.
 
     ``parent_node`` is '' for elements of the document itself.  Nodes are paths with positions
     counted from 0, nulls included.
     """
+    tree = tree if kind is None else branch(tree, kind)
     clean = F.regexp_replace(F.col(body), "^[\\s\ufeff]+", "")
     names = [*tree, "facility_id"]
     top = ", ".join(f"{k} string" for k in (*names, "facility", "payload"))
@@ -128,10 +137,9 @@ def flatten_documents(df: DataFrame, key: str, body: str, payload: bool = False,
     inside = F.from_json(F.when(wrapped, deeper), ", ".join(f"{k} string" for k in names))
     docs = outer.select("key", "d", inside.alias("w"))
     docs = docs.select("key", *(F.coalesce(F.col(f"w.{k}"), F.when(F.col("w").isNull(), F.col(f"d.{k}"))).alias(k) for k in tree))
-    shaped = docs.select("key", *(_nested(F.col(k), k, sub, payload).alias(k) for k, sub in tree.items()))
-    kind = dict(df.dtypes)[key]
-    schema = f"key {kind}, parent_node string, node string" + (", kind string, text string" if payload else "")
-    flat = shaped.mapInArrow(_flatten(tree, payload), schema)
+    shaped = docs.select("key", *(_nested(F.col(k), k, sub, payload, kind).alias(k) for k, sub in tree.items()))
+    schema = f"key {dict(df.dtypes)[key]}, parent_node string, node string" + (", kind string, text string" if payload else "")
+    flat = shaped.mapInArrow(_flatten(tree, payload, kind), schema)
     return flat.withColumnRenamed("key", key)
 
 

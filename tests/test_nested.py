@@ -1,6 +1,8 @@
 import json
 
-from orelode.operators.nested import child_table, flatten_documents
+from pyspark.sql import functions as F
+
+from orelode.operators.nested import TREE, branch, child_table, flatten_documents
 
 
 def brute(body):
@@ -83,3 +85,13 @@ def test_empty_and_repeated_rows(spark):
     assert flatten_documents(empty, "raw_id", "body").count() == 0
     twice = spark.createDataFrame([(1, BODIES[3]), (1, BODIES[3]), (None, BODIES[3])], "raw_id long, body string")
     assert flatten_documents(twice, "raw_id", "body").count() == 3 * len(brute(BODIES[3]))
+
+
+def test_one_kind_reads_its_branch_only(spark):
+    bodies = ['{"facility_id": "a", "commodities": [{"metal": "cu", "products": [{"stream": "x"}, null, "y"]}, "au"], "verification": {"issues": [{"type": "t", "fix": "f"}], "history": ["h"]}}', "{", None]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id long, body string")
+    every = flatten_documents(df, "id", "body", payload=True)
+    for kind in ("commodities", "products", "verification", "issues", "fix", "history", "evidence"):
+        got = flatten_documents(df, "id", "body", payload=True, kind=kind)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.where(F.col("kind") == kind).collect())), kind
+    assert branch(TREE, "fix") == {"verification": {"issues": {"fix": {}}}}
