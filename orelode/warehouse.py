@@ -227,3 +227,28 @@ def stream_latest(spark, d):
     run.awaitTermination()
     last = run.lastProgress["batchId"]
     return results.latest_state(spark, f"{at}/state", last + 1).select("facility_key", "json_id", "result_id")
+
+
+def _event_stream(spark, d):
+    name = "events.parquet"
+    schema = spark.read.parquet(f"{d}/{name}").schema
+    source = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    rows = source.parquet(f"{d}/{name}") if os.path.isdir(f"{d}/{name}") else source.option("pathGlobFilter", name).parquet(d)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT event_type, count(DISTINCT event_id) AS events FROM events GROUP BY 1")
+def stream_deduplicated(spark, d):
+    """Events without repeats, read as a stream."""
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    once = results.deduplicated(_event_stream(spark, d).select("event_id", "event_type", "ts"), ["event_id"], "ts", "60 days")
+    return results.written(once, f"{at}/rows", f"{at}/log").groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+@query("""WITH w AS (SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '2024-01-01 00:00:00') AS s, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2)
+ SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, event_type, n FROM w WHERE s + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+def stream_windows(spark, d):
+    """Events of closed windows of six hours, counted by a stream with a watermark of a day."""
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    counts = results.windowed_counts(_event_stream(spark, d).select("event_type", "ts"), "ts", "event_type", "6 hours")
+    return results.written(counts, f"{at}/rows", f"{at}/log").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
