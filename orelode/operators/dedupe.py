@@ -241,14 +241,18 @@ def disambiguated(df: DataFrame, slug: Column, suffixes: list[Column], id_: str)
     skipped.
     """
     tail = F.concat(F.lit("-"), F.substring(F.sha2(F.col(id_).cast("string"), 256), 1, 10))
-    open_ = df.select(F.col(id_), slug.alias("slug"), *(s.alias(f"s{i}") for i, s in enumerate(suffixes)))
-    held, tries = None, [F.col("slug"), *(F.when(F.col(f"s{i}") != "", F.concat_ws("-", "slug", f"s{i}")) for i in range(len(suffixes)))]
-    for attempt in tries:
-        claims = open_.withColumn("try", attempt)
-        first = claims.where("try is not null").groupBy("try").agg(F.min(id_).alias(id_))
-        if held is not None:
-            first = first.join(held.select("try"), "try", "left_anti")
-        held = first if held is None else held.unionByName(first)
+    # every step is read by the next ones, so it is materialised; most ids are settled by the first
+    open_ = cut(df.select(F.col(id_), slug.alias("slug"), *(s.alias(f"s{i}") for i, s in enumerate(suffixes))))
+    least = lambda d: d.groupBy("try").agg(F.min(id_).alias("_owner"))
+    slugs = least(open_.select(F.col("slug").alias("try"), id_))
+    ranked = open_.join(slugs, open_["slug"] == slugs["try"]).drop("try")
+    held = ranked.where(F.col(id_) == F.col("_owner")).select(id_, F.col("slug").alias("try"))
+    open_ = cut(ranked.where(F.col(id_) != F.col("_owner")).drop("_owner"))
+    taken = slugs.select("try")
+    for i in range(len(suffixes)):
+        claims = open_.withColumn("try", F.when(F.col(f"s{i}") != "", F.concat_ws("-", "slug", f"s{i}")))
+        first = cut(least(claims.where("try is not null")).join(taken, "try", "left_anti")).select("try", F.col("_owner").alias(id_))
+        held, taken = held.unionByName(first), taken.unionByName(first.select("try"))
         open_ = open_.join(first.select(id_), id_, "left_anti")
     return held.select(id_, F.col("try").alias("unique_slug")).unionByName(open_.select(id_, F.concat("slug", tail).alias("unique_slug")))
 
