@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orelode.functions import fixed, text
-from orelode.operators import dedupe, export, quality, spatial
+from orelode.operators import dedupe, export, geocode, quality, spatial
 from orelode.plans.runtime import bounded, table
 
 QUERIES: dict = {}
@@ -193,13 +193,22 @@ def geohash7(spark, d):
     return _facility(spark, d).select("rec_id", text.geohash(F.col("location.lat"), F.col("location.lon")).alias("geohash"))
 
 
-@query("""WITH p AS (SELECT f.rec_id, q.place_id, 2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(q.lat - f.location.lat) / 2), 2) + cos(radians(f.location.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - f.location.lon) / 2), 2)))) AS km
- FROM facility f JOIN place q ON f.country_iso3 = q.country_iso3 WHERE abs(f.location.lat) <= 90 AND abs(f.location.lon) <= 180 AND NOT (f.location.lat = 0 AND f.location.lon = 0))
+CODES = "codes AS (SELECT k, min(iso3) AS meant FROM (SELECT lower(trim(iso3)) AS k, iso3 FROM country_ref UNION ALL SELECT lower(trim(iso2)), iso3 FROM country_ref UNION ALL SELECT lower(trim(country_name)), iso3 FROM country_ref) WHERE k <> '' GROUP BY 1)"
+
+
+def _located(spark: SparkSession, d: str) -> DataFrame:
+    """Records with a usable position and the ``country`` that their notation means."""
+    rows = _facility(spark, d).where(spatial.usable(quality.lat(), quality.lon())).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
+    return geocode.with_country(rows, spatial.country_codes(table(spark, d, "country_ref"))).where("country is not null")
+
+
+@query(f"""WITH {CODES}, p AS (SELECT f.rec_id, q.place_id, 2 * 6371.0 * asin(least(1.0, sqrt(pow(sin(radians(q.lat - f.location.lat) / 2), 2) + cos(radians(f.location.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - f.location.lon) / 2), 2)))) AS km
+ FROM facility f JOIN codes ON lower(trim(f.country_iso3)) = k JOIN place q ON meant = q.country_iso3 WHERE abs(f.location.lat) <= 90 AND abs(f.location.lon) <= 180 AND NOT (f.location.lat = 0 AND f.location.lon = 0))
  SELECT rec_id, arg_min(place_id, (round(km, 4), place_id)) AS place_id, round(min(km), 3) AS km FROM p GROUP BY rec_id""")
 def nearest_place(spark, d):
-    f = _facility(spark, d).where(spatial.usable(quality.lat(), quality.lon())).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
-    p = table(spark, d, "place").select("place_id", "country_iso3", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
-    rows = f.join(bounded(p, 100_000), "country_iso3").withColumn("km", spatial.haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+    """The nearest place of each record's country, whatever notation the record has for it."""
+    p = table(spark, d, "place").select("place_id", F.col("country_iso3").alias("country"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    rows = _located(spark, d).join(bounded(p, 100_000), "country").withColumn("km", spatial.haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
     return rows.groupBy("rec_id").agg(F.min_by("place_id", F.struct(F.round("km", 4), F.col("place_id"))).alias("place_id"), F.round(F.min("km"), 3).alias("km"))
 
 
@@ -465,12 +474,13 @@ def dedupe_summary(spark, d):
     return dedupe.dedupe_summary(_facility(spark, d), "facility_id")
 
 
-@query("""WITH f AS (SELECT rec_id, country_iso3 AS k, location.lat AS a, location.lon AS o FROM facility WHERE abs(location.lat) <= 90 AND abs(location.lon) <= 180 AND NOT (location.lat = 0 AND location.lon = 0)),
+@query(f"""WITH {CODES}, f AS (SELECT rec_id, meant AS k, location.lat AS a, location.lon AS o FROM facility JOIN codes ON lower(trim(country_iso3)) = codes.k WHERE abs(location.lat) <= 90 AND abs(location.lon) <= 180 AND NOT (location.lat = 0 AND location.lon = 0)),
  r AS (SELECT district_id, country_iso3 AS k, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS ring FROM mining_district), p AS (SELECT district_id, k, list_transform(string_split(ring, ','), lambda s: [CAST(split_part(trim(s), ' ', 1) AS DOUBLE), CAST(split_part(trim(s), ' ', 2) AS DOUBLE)]) AS l FROM r),
  i AS (SELECT district_id, k, l, unnest(range(1, len(l))) AS i FROM p), e AS (SELECT district_id, k, l[i][1] AS x1, l[i][2] AS y1, l[i + 1][1] - l[i][1] AS vx, l[i + 1][2] - l[i][2] AS vy FROM i),
  t AS (SELECT rec_id, district_id, o, a, x1, y1, vx, vy, greatest(0, least(1, ((o - x1) * vx + (a - y1) * vy) / greatest(vx * vx + vy * vy, 1e-18))) AS t, (y1 > a) <> (y1 + vy > a) AND o < vx * (a - y1) / vy + x1 AS crossed FROM f JOIN e USING (k)),
  d AS (SELECT rec_id, district_id, CASE WHEN count(*) FILTER (WHERE crossed) % 2 = 1 THEN 0 ELSE min(sqrt(pow(x1 + t * vx - o, 2) + pow(y1 + t * vy - a, 2))) END AS deg FROM t GROUP BY 1, 2)
  SELECT rec_id, arg_min(district_id, (round(deg, 9), district_id)) AS region_id, round(min(deg) * 111.0, 6) AS km FROM d GROUP BY 1""")
 def nearest_district(spark, d):
-    f = _facility(spark, d).select("rec_id", "country_iso3", quality.lat().alias("lat"), quality.lon().alias("lon"))
-    return spatial.nearest_regions(f, "rec_id", "lat", "lon", "country_iso3", table(spark, d, "mining_district"), "district_id", "wkt", "country_iso3").withColumn("km", F.round("km", 6))
+    """The nearest district of each record's country, 0 km inside."""
+    f = _located(spark, d)
+    return spatial.nearest_regions(f, "rec_id", "lat", "lon", "country", table(spark, d, "mining_district"), "district_id", "wkt", "country_iso3").withColumn("km", F.round("km", 6))

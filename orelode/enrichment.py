@@ -97,16 +97,6 @@ def country_notations(spark, d):
     return table(spark, d, "facility").select("rec_id", F.lower(F.trim("country_iso3")).alias("notation")).join(bounded(codes, 10_000), "notation", "left").select("rec_id", F.col("meant").alias("iso3"))
 
 
-OVERLAP = "len(list_intersect({0}, {1})) / least(len({0}), len({1}))"
-
-
-@query(f"""WITH c AS (SELECT rec_id, place_id, list_distinct(list_filter(string_split_regex(lower(name), '\\s+'), lambda w: w <> '')) AS a, list_distinct(list_filter(string_split_regex(lower(place_name), '\\s+'), lambda w: w <> '')) AS b FROM facility f JOIN place p ON f.country_iso3 = p.country_iso3),
- s AS (SELECT rec_id, place_id, round(0.48 + 0.4 * CASE WHEN least(len(a), len(b)) > 0 THEN {OVERLAP.format('a', 'b')} ELSE 0 END, 4) AS score FROM c)
- SELECT rec_id, arg_min(place_id, (-score, place_id)) AS place_id, max(score) AS score FROM s WHERE score >= 0.6 GROUP BY rec_id""")
-def geocode_candidates(spark, d):
-    return enrich.place_candidates(table(spark, d, "facility"), table(spark, d, "place"))
-
-
 @query("""SELECT rec_id, trim(regexp_replace(regexp_replace(alias, '\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g')) AS bare FROM (SELECT rec_id, unnest(aliases) AS alias FROM facility) WHERE alias IS NOT NULL""")
 def bare_aliases(spark, d):
     return table(spark, d, "facility").select("rec_id", F.explode("aliases").alias("alias")).where("alias is not null").select("rec_id", ingest.bare_name(F.col("alias")).alias("bare"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orelode.functions.text import core_name, humanize_type, lookup, normalize_metal, normalize_type, slugify, to_ascii, word_overlap
+from orelode.functions.text import core_name, humanize_type, lookup, normalize_metal, normalize_type, slugify, to_ascii
 from orelode.plans.runtime import bounded
 
 # Territories by sovereign.
@@ -96,15 +96,6 @@ def moved(facility: DataFrame, codes: DataFrame) -> DataFrame:
     return new.join(ids, "new_id", "left").select("facility_id", "new_id", F.coalesce("conflict", F.lit(False)).alias("conflict"))
 
 
-def place_candidates(facility: DataFrame, place: DataFrame, least: float = 0.6, source: float = 0.8) -> DataFrame:
-    """For each record the place of its country whose name fits best, scored 0.6 by the source and
-    0.4 by shared words, if it reaches ``least``."""
-    p = bounded(place.select("place_id", "country_iso3", F.lower("place_name").alias("place")), 100_000)
-    rows = facility.select("rec_id", "country_iso3", F.lower("name").alias("low")).join(p, "country_iso3")
-    rows = rows.withColumn("score", F.round(0.6 * source + 0.4 * word_overlap(F.col("low"), F.col("place")), 4)).where(F.col("score") >= least)
-    return rows.groupBy("rec_id").agg(F.min(F.struct(-F.col("score"), F.col("place_id"))).alias("b")).select("rec_id", F.col("b.place_id").alias("place_id"), (-F.col("b.col1")).alias("score"))
-
-
 def folded_slug(*parts: Column) -> Column:
     """A slug in which accented letters keep their base letter; ``facility`` if nothing is left."""
     base = F.trim(F.regexp_replace(F.regexp_replace(F.lower(to_ascii(F.concat_ws(" ", *parts))), "[^a-z0-9]+", "-"), "^-+|-+$", ""))
