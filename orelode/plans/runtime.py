@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not conf and not sc.master.startswith("local["):
+        if not conf and sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="orelode-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
