@@ -1,0 +1,53 @@
+"""Work that grows with the rows, not with the pairs: results against brute force and rows made by joins."""
+
+from __future__ import annotations
+
+import random
+
+from orelode.operators import companies
+
+
+def most_rows(df) -> int:
+    """The most rows that any step of the plan of ``df`` puts out."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        df = df.select("*")  # planned anew, under this setting
+        df.collect()
+        left, most = [df._jdf.queryExecution().executedPlan()], 0
+    finally:
+        conf.set(key, before)
+    while left:
+        plan = left.pop()
+        metric = plan.metrics().get("numOutputRows")
+        most = max(most, metric.get().value() if metric.isDefined() else 0)
+        left += [plan.children().apply(i) for i in range(plan.children().size())]
+    assert most > 0
+    return most
+
+
+def test_companies_make_no_pairs(spark):
+    """Names that all match all companies by their common words; the least id of the best score counts."""
+    names = [f"aa{i} gold mines ltd" for i in range(400)] + ["Bb7 Mines Gold Ltd", "Ltd"]
+    known = [(f"c{i:03d}", f"bb{i} gold mines ltd", None, None) for i in range(400)]
+    df = companies.best_companies(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(known, "company_id string, company_name string, hq_lat double, hq_lon double"))
+    got = {r["name"]: (r["company_id"], r["score"]) for r in df.collect()}
+    assert got == {n: ("c000", 75.0) for n in names[:400]} | {"Bb7 Mines Gold Ltd": ("c007", 100.0)}
+    assert most_rows(df) < 20_000
+
+
+def test_companies_of_many_words(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(14)]
+    some = lambda: " ".join(rnd.sample(words, rnd.randint(1, 13)))
+    names, known = sorted({some() for _ in range(150)}), [(f"c{i % 70}", some(), float(i), 0.0) for i in range(140)]
+    df = companies.best_companies(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(known, "company_id string, company_name string, hq_lat double, hq_lon double"))
+    got = {r["name"]: (r["company_id"], r["company_name"], r["score"], r["hq_lat"]) for r in df.collect()}
+    want = {}
+    for n in names:
+        a = set(n.split())
+        best = min(((-round(200 * len(a & set(c.split())) / (len(a) + len(c.split())), 4), i, c, la) for i, c, la, _ in known), default=None)
+        if -best[0] >= 70:
+            want[n] = (best[1], best[2], -best[0], best[3])
+    assert got == want and len(want) > 50
