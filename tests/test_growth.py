@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from orelode.operators import companies
+from orelode.operators import companies, geocode
 
 
 def most_rows(df) -> int:
@@ -51,3 +51,37 @@ def test_companies_of_many_words(spark):
         if -best[0] >= 70:
             want[n] = (best[1], best[2], -best[0], best[3])
     assert got == want and len(want) > 50
+
+
+def _candidates(spark, records, entries):
+    records = spark.createDataFrame(records, "rec_id long, name string, country string")
+    return geocode.candidates(records, [spark.createDataFrame(entries, "source string, source_id string, name string, aliases array<string>, country string, kind string, lat double, lon double")])
+
+
+def test_candidates_make_no_pairs(spark):
+    """All records and entries of a country share a word."""
+    records = [(i, f"Aa{i} Coal Mine", "ZAF") for i in range(400)] + [(900, "Bb7 Pit", "ZAF"), (901, "Coal Pit", "PER")]
+    df = _candidates(spark, records, [("wikidata", f"r{i:03d}", f"Bb{i} Cc{i} Coal Ltd", None, "ZAF", "mine", float(i), 1.0) for i in range(400)])
+    got = {r["rec_id"]: (r["source_id"], r["lat"], r["confidence"]) for r in df.collect()}
+    assert got == {i: ("r000", 0.0, 0.6433) for i in range(400)} | {900: ("r007", 7.0, 0.71)}
+    assert most_rows(df) < 20_000
+
+
+def test_candidates_against_brute_force(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(16)]
+    some = lambda most: " ".join(rnd.sample(words, rnd.randint(0, most)))
+    records = [(i, rnd.choice([some(4), some(13), None]), rnd.choice(["PER", "CHL", None])) for i in range(120)]
+    entries = [(rnd.choice(["wikidata", "nominatim", "overpass", "atlas"]), f"e{i % 50}", some(13 if i % 3 else 3), rnd.choice([None, [some(3), None]]), rnd.choice(["PER", "CHL"]), "mine", rnd.choice([None, float(i)]), 2.0) for i in range(100)]
+    got = {r["rec_id"]: (r["source"], r["source_id"], r["lat"], r["confidence"]) for r in _candidates(spark, records, entries).collect()}
+    want = {}
+    for i, name, country in records:
+        a, found = set((name or "").split()), []
+        for source, id_, other, aliases, where, _, lat, _ in entries:
+            sets = [s for x in [other, *(aliases or [])] if (s := set((x or "").split()))]
+            score = max((len(a & s) / min(len(a), len(s)) for s in sets), default=0.0) if a else 0.0
+            if lat is not None and where == country and score and (sure := round(0.6 * geocode.SOURCE_SCORES.get(source, 0.5) + 0.4 * score, 4)) >= 0.6:
+                found.append((-sure, source, id_, lat))
+        if found:
+            want[i] = (*min(found)[1:], -min(found)[0])
+    assert got == want and len(want) > 30
