@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+from difflib import SequenceMatcher
 
-from orelode.operators import companies, geocode
+from orelode.operators import companies, dedupe, geocode
 
 
 def most_rows(df) -> int:
@@ -85,3 +86,34 @@ def test_candidates_against_brute_force(spark):
         if found:
             want[i] = (*min(found)[1:], -min(found)[0])
     assert got == want and len(want) > 30
+
+
+IMPORT = "rec_id long, facility_id string, name string, country_iso3 string, location struct<lat:double,lon:double>, aliases array<string>"
+
+
+def test_similar_names_on_import_against_brute_force(spark):
+    rnd = random.Random(3)
+
+    def changed(text: str) -> str:
+        text = list(text)
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(text))
+            text[at : at + rnd.randint(0, 1)] = rnd.choice(["", "a", "ö", "zc"])
+        return "".join(text)
+
+    base = ["kochubahe coal mine", "el tramu pit", "aaaaaaaaaaaaa zzzzzzzzz", "x" * 70 + " y", "grube ñandú öst"]
+    names = [sorted({changed(rnd.choice(base)) for _ in range(150)} | {""}) for _ in range(2)]
+    want = {(x, y) for x in names[0] for y in names[1] if x and y and SequenceMatcher(None, x, y).ratio() > 0.85}
+    assert set(dedupe._similar(names[0], names[1], block=64)) == want | {("", "")} and len(want) > 300
+    new, old = (spark.createDataFrame([("PER", n) for n in d], "country string, low string") for d in names)
+    got = {tuple(r) for r in dedupe._name_pairs(new, old, True).select("low", "other").collect()}
+    assert want <= got and all(SequenceMatcher(None, x, y).ratio() > 0.85 or set(x.split()) & set(y.split()) for x, y in got)
+
+
+def test_similar_names_on_import_make_no_pairs(spark):
+    """Names that share all but their first letters, so all their letter pairs are common."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("bdgklmrs") + rnd.choice("aeiou") for _ in range(4))
+    rows = lambda at: spark.createDataFrame([(at + i, f"f{at + i}", f"{word()} Open Pit", "PER", None, None) for i in range(500)], IMPORT)
+    df = dedupe.import_matches(rows(0), rows(1000))
+    assert most_rows(df) < 20_000
