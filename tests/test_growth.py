@@ -5,6 +5,10 @@ from __future__ import annotations
 import random
 from difflib import SequenceMatcher
 
+from pyspark.sql import functions as F
+
+from orelode import services
+from orelode.functions import fixed, text
 from orelode.operators import companies, dedupe, geocode
 
 
@@ -117,3 +121,44 @@ def test_similar_names_on_import_make_no_pairs(spark):
     rows = lambda at: spark.createDataFrame([(at + i, f"f{at + i}", f"{word()} Open Pit", "PER", None, None) for i in range(500)], IMPORT)
     df = dedupe.import_matches(rows(0), rows(1000))
     assert most_rows(df) < 20_000
+
+
+def _facilities(spark, folder, rows: int):
+    """Tables of ``backfill_all``: every tenth record lacks a position, all share the word coal."""
+    f = spark.range(rows).selectExpr(
+        "id AS rec_id", "concat('f', id) AS facility_id", "concat('Aa', id, ' Coal Mine (Zz', id, ')') AS name", "array('-') AS aliases", "'ZAF' AS country_iso3",
+        "named_struct('lat', if(id % 10 = 3, NULL, -30.0D), 'lon', 25.0D, 'precision', 'site', 'town', if(id % 2 = 0, ' ', 'Own'), 'region', CAST(NULL AS STRING)) AS location", "array('smelter') AS types",
+        "array(named_struct('metal', 'Cu', 'is_primary', true, 'chemical_formula', CAST(NULL AS STRING), 'category', CAST(NULL AS STRING))) AS commodities", "array(named_struct('name', concat('Bb', id % 7, ' Ltd'), 'role', 'operator')) AS company_mentions",
+    )
+    f.write.parquet(f"{folder}/facility.parquet")
+    spark.range(7).selectExpr("concat('r', id) AS relationship_id", "concat('f', id) AS facility_id", "concat('c', id) AS company_id", "concat('Bb', id, ' Ltd') AS company_name").write.parquet(f"{folder}/facility_company_relationships.parquet")
+    for name, sql in {
+        "place": "SELECT 1L AS place_id, 'Coal' AS place_name, 'town' AS kind, 'ZAF' AS country_iso3, -29.0D AS lat, 24.0D AS lon", "country_ref": "SELECT 'ZAF' AS iso3, 'ZA' AS iso2, 'South Africa' AS country_name",
+        "canonical_term": "SELECT 'commodity' AS field_name, 'copper' AS canonical, 'Cu' AS symbol, 'base' AS category",
+    }.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_all_backfills_in_one_pass(spark, tmp_path, monkeypatch):
+    """Positions are sought for the records without one, and each record is read for the rest once."""
+    rows, sought = 400, []
+    _facilities(spark, str(tmp_path), rows)
+    monkeypatch.setattr(geocode, "candidates", lambda records, *more, was=geocode.candidates: (sought.append(records.count()), was(records, *more))[1])
+    df = services.backfill_all(spark, str(tmp_path))
+    got = {r["rec_id"]: r for r in df.collect()}
+    assert len(got) == df.count() == rows and sought == [rows // 10]
+    assert (got[3]["lat"], got[3]["lon"], got[3]["town"], got[3]["operator_id"], got[3]["n_commodities"]) == (-29.0, 25.0, "Own", "c3", 1)
+    assert (got[4]["lat"], got[4]["town"], got[4]["display_name"], got[4]["canonical_name"]) == (-30.0, "Zz4", "Aa4 Coal", "Zz4 Bb4 Ltd Aa4 Coal Smelter")
+
+
+def test_noise_words_in_one_pass(spark):
+    rnd = random.Random(6)
+    parts = [*fixed.NOISE_WORDS, "open", "Sx", "ew", "pits", "Aa", "é"]
+    names = ["".join(rnd.choice(parts).upper() + rnd.choice([" ", "-", " ", "", "(x)"]) for _ in range(rnd.randint(1, 6))) for _ in range(400)]
+    c = F.regexp_replace(F.col("name"), r"\([^)]*\)", " ")
+    for word in sorted(fixed.NOISE_WORDS, key=lambda w: (-len(w), w)):
+        c = F.regexp_replace(c, rf"(?i)\b{word}\b", " ")
+    c = F.trim(F.regexp_replace(c, r"\s+", " "))
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    assert df.where(text.core_name(F.col("name")) != F.when(c != "", c).otherwise(F.trim("name"))).count() == 0
+    assert text.core_name(F.col("name"))._jc.toString().count("regexp_replace") < 20
