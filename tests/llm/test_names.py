@@ -1,10 +1,12 @@
 import itertools
+import random
 
 import pytest
 
 from orelode.llm.components import components
-from orelode.llm.names import name_links, name_pairs, parsed
-from orelode.llm.strings import damerau
+from orelode.llm.names import collapsed, edits, name_links, name_pairs, parsed
+from orelode.llm.near import near_parts
+from orelode.llm.strings import damerau, squash
 
 
 @pytest.mark.parametrize(
@@ -94,3 +96,61 @@ def test_parsing():
     assert parsed("D.K. Kobratroda")[:2] == ("p", "d.")
     assert parsed("G. Mines Teten Didrurubri Public Limited Company")[1:] == ("gold mines", ["teten", "didrurubri"], "plc")
     assert [parsed(f"Sukradome Coal {x}")[3] for x in ("S.A.", "Sociedad Anónima", "Pty. Limited", "L.L.C.", "")] == ["sa", "sa", "pty", "llc", ""]
+
+
+def _changed(rnd, word: str, most: int) -> str:
+    letters = list(word)
+    for _ in range(rnd.randint(0, most)):
+        at, how = rnd.randrange(len(letters)), rnd.randrange(4)
+        if how == 0:
+            letters.insert(at, rnd.choice("abkr"))
+        elif how == 1 and len(letters) > 2:
+            del letters[at]
+        elif how == 2:
+            letters[at] = rnd.choice("abkr")
+        elif at + 1 < len(letters):
+            letters[at], letters[at + 1] = letters[at + 1], letters[at]
+    return "".join(letters)
+
+
+def _readings(rnd, n: int) -> list[tuple[str, ...]]:
+    found = set()
+    while len(found) < n:
+        words = [_changed(rnd, rnd.choice(["tramu", "kochubahe", "bor", "zutra", "histethikor", "kora" * 9]), 2) for _ in range(rnd.choice([1, 2, 2, 3, 4]))]
+        kind = rnd.randrange(6)
+        words = [words[0][0], *words[1:]] if kind == 0 else ["".join(words)] if kind == 1 else words
+        found.add(tuple(words))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("kind", "cp")
+def test_near_readings_against_all_pairs(kind):
+    parts = _readings(random.Random(2), 400) if kind == "c" else sorted({(_changed(random.Random(i), "kigustitra"[: 5 + i % 6], 3),) for i in range(150)})
+    near = lambda i, j: edits(kind, list(parts[i]), list(parts[j])) is not None
+    want = {(i, j) for i, j in itertools.combinations(range(len(parts)), 2) if near(i, j)}
+    assert {(i, j) for i, j in near_parts(kind, parts, collapsed, squash, [True] * len(parts)) if near(i, j)} == want and len(want) > 100
+
+
+def test_every_near_pair_is_of_one_entity(spark):
+    rnd = random.Random(5)
+    base = ["Tramu Kochubahe", "Histethikor", "Bor Zutra", "Drubastitra Vexelo", "Alpha Brava Carlita"]
+    names = sorted({" ".join(_changed(rnd, w, 2) for w in rnd.choice(base).split()).title() + " Coal Ltd" for _ in range(150)})
+    read = {n: parsed(n) for n in names}
+    near = lambda a, b: read[a][1] == read[b][1] and edits("c", read[a][2], read[b][2]) is not None
+    want = {(a, b) for a, b in itertools.combinations(names, 2) if near(a, b)}
+    got = {tuple(r) for r in name_pairs(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert want <= got and len(want) > 300
+
+
+@pytest.mark.parametrize(
+    "a,b",
+    [("Drubastitra Iron plc", "Trubostidra Iron plc"), ("Kochubahe Tramu Coal Ltd", "Rochubahe Bramu Coal Ltd"), ("Trofur Zolutragu Zinc LLC", "Trofurzolutaku Zinc LLC"), ("Robert Kigus", "Robert Kagos"), ("X Coal Ltd", "X Coal Limited")],
+)
+def test_the_farthest_variants_link(spark, a, b):
+    assert [set(r) for r in name_pairs(spark.createDataFrame([(a,), (b,)], "name string")).collect()] == [{a, b}]
+
+
+def test_names_without_a_form_bring_no_two_forms_together(spark):
+    names = ["Drubastitra Iron LLC", "Drubastidra Iron", "Grubosdidra Iron GmbH", "X Iron LLC", "Xerubas Iron LLC"]
+    got = {tuple(r) for r in name_pairs(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert got == {("Drubastidra Iron", "Drubastitra Iron LLC")}
